@@ -26,7 +26,7 @@ def sku_dimension(item_sku: DataFrame, prod_type: DataFrame, sku_levels: DataFra
     )
 
 
-def sku_catalog(
+def catalog_rows(
     item_sku: DataFrame,
     prod_type: DataFrame,
     sku_levels: DataFrame,
@@ -35,12 +35,8 @@ def sku_catalog(
     department: DataFrame,
     item_category: DataFrame,
 ) -> DataFrame:
-    """SKU dimension plus the merchandise hierarchy, numbered by SKU.
-
-    Every row can stand for a purchase by a made-up customer: its number is both the transaction and the
-    customer id. Rows are deduplicated before they are numbered.
-    """
-    rows = (
+    """SKU dimension plus the merchandise hierarchy."""
+    return (
         _typed_skus(item_sku, prod_type)
         .join(sku_levels, "item_sku_num")
         .join(class_code, "class_id")
@@ -56,6 +52,14 @@ def sku_catalog(
         )
         .distinct()
     )
+
+
+def sku_catalog(rows: DataFrame) -> DataFrame:
+    """Catalog rows numbered by SKU.
+
+    Every row can stand for a purchase by a made-up customer: its number is both the transaction and the
+    customer id. Rows are deduplicated before they are numbered.
+    """
     order = [F.col("item_sku_num"), *(F.col(c) for c in rows.columns if c != "item_sku_num")]
     numbered = consecutive(rows, order, "transaction_guid")
     return numbered.select(
@@ -67,9 +71,9 @@ def sku_catalog(
     )
 
 
-def catalog_skus(catalog_or_dimension: DataFrame) -> DataFrame:
+def catalog_skus(rows: DataFrame) -> DataFrame:
     """SKU, type and their descriptions."""
-    return catalog_or_dimension.select(*ATTRIBUTES[:4]).distinct()
+    return rows.select(*ATTRIBUTES[:4]).distinct()
 
 
 def types_per_level(catalog: DataFrame) -> DataFrame:
