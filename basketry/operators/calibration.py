@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,34 +21,34 @@ def score_summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def fit_calibration(
-    scored: DataFrame, type_ids, parallelism: int = 8
-) -> dict[int, IsotonicRegressionModel]:
-    """Fit p to y per type. All types share one pass over the scores; each fit reads its own partition."""
+def fit_calibration(scored: DataFrame, type_ids: Sequence[int], parallelism: int = 8) -> DataFrame:
+    """Fit p to y per type and return the curves: type, scores and calibrated values of the fitted points.
+
+    All types share one pass over the scores; each fit then reads its own partition of the summary.
+    """
+    spark = scored.sparkSession
     summary = staged(score_summary(scored), "calibration", partition_by=(TYPE,))
     isotonic = IsotonicRegression(featuresCol="p", labelCol="y", weightCol="n")
 
-    def fit(type_id: int) -> IsotonicRegressionModel:
-        return isotonic.fit(summary.filter(F.col(TYPE) == type_id).drop(TYPE))
+    def fit(type_id: int) -> tuple[int, list[float], list[float]]:
+        model = isotonic.fit(summary.filter(F.col(TYPE) == type_id).drop(TYPE))
+        return (
+            type_id,
+            [float(x) for x in model.boundaries.toArray()],
+            [float(v) for v in model.predictions.toArray()],
+        )
 
     with ThreadPoolExecutor(parallelism) as pool:
-        return dict(zip(type_ids, pool.map(fit, type_ids)))
+        curves = list(pool.map(fit, type_ids))
+    return spark.createDataFrame(curves, f"{TYPE} bigint, scores array<double>, fitted array<double>")
 
 
-def calibrate_scores(
-    scores: DataFrame, models: dict[int, IsotonicRegressionModel], output: str = "calibrated"
-) -> DataFrame:
+def calibrate_scores(scores: DataFrame, curves: DataFrame, output: str = "calibrated") -> DataFrame:
     """Calibrated score of every row: linear between the fitted points, constant outside them.
 
-    The curves become one array of points per type, so all rows are calibrated in one pass.
+    A curve is one row, so all rows of all types are calibrated in one pass.
     """
-    spark = scores.sparkSession
-    rows = [
-        (type_id, [float(x) for x in model.boundaries.toArray()],
-         [float(v) for v in model.predictions.toArray()])
-        for type_id, model in models.items()
-    ]
-    curves = spark.createDataFrame(rows, f"{TYPE} bigint, _x array<double>, _v array<double>")
+    curves = curves.select(TYPE, F.col("scores").alias("_x"), F.col("fitted").alias("_v"))
     p, x, v = F.col("p"), F.col("_x"), F.col("_v")
     # Points below and at-or-above p: the curve is constant or linear between neighbours.
     below = F.size(F.filter(x, lambda b: b < p))

@@ -161,9 +161,9 @@ def _binned(f: Flow) -> DataFrame:
 def _calibrated(f: Flow) -> DataFrame:
     binned = _binned(f)
     kinds = [r[0] for r in binned.select("pdm_prod_type_id").distinct().collect()]
-    models = calibration.fit_calibration(binned, sorted(kinds))
+    curves = calibration.fit_calibration(binned, sorted(kinds))
     points = binned.groupBy("pdm_prod_type_id", "p").agg(F.count(F.lit(1)).alias("n"))
-    return calibration.calibrate_scores(points, models)
+    return calibration.calibrate_scores(points, curves)
 
 
 def _score_checkpoint(f: Flow) -> DataFrame:
