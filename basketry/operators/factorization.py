@@ -40,7 +40,8 @@ def fit_regional_als(
     indexed: DataFrame, regions: Sequence[str], params: FactorParams
 ) -> dict[str, ALSModel]:
     """A model per region, several fits at a time. Every region holds the seed rows, so none is empty."""
-    use_checkpoints(indexed.sparkSession)
+    spark = indexed.sparkSession
+    use_checkpoints(spark)
     als = ALS(
         userCol="user_index",
         itemCol="item_index",
@@ -52,6 +53,8 @@ def fit_regional_als(
         maxIter=params.max_iter,
         seed=params.seed,
         coldStartStrategy="drop",
+        numUserBlocks=params.user_blocks or spark.sparkContext.defaultParallelism,
+        numItemBlocks=params.item_blocks,
     )
 
     def fit(region: str) -> ALSModel:

@@ -119,19 +119,21 @@ def train_propensity(
 
     with ThreadPoolExecutor(params.parallelism) as pool:
         fitted = dict(zip(todo, pool.map(fit, todo)))
-    loaded = load_models(spark, [t for t in type_ids if t in finished], folder)
+    loaded = load_models(spark, [t for t in type_ids if t in finished], folder, params.parallelism)
     return {t: fitted.get(t) or loaded[t] for t in type_ids}
 
 
 def load_models(
-    spark: SparkSession, type_ids: Sequence[int], folder: str
+    spark: SparkSession, type_ids: Sequence[int], folder: str, parallelism: int = 8
 ) -> dict[int, GBTClassificationModel]:
     """Saved models of the types; types without one are skipped with a warning."""
     known = {row[TYPE] for row in read_manifest(spark, folder).select(TYPE).collect()}
     missing = [t for t in type_ids if t not in known]
     if missing:
         log.warning("no model for product types %s: skipped", missing)
-    return {t: GBTClassificationModel.load(model_path(folder, t)) for t in type_ids if t in known}
+    wanted = [t for t in type_ids if t in known]
+    with ThreadPoolExecutor(parallelism) as pool:
+        return dict(zip(wanted, pool.map(lambda t: GBTClassificationModel.load(model_path(folder, t)), wanted)))
 
 
 def propensity_scores(

@@ -84,6 +84,9 @@ class FactorParams:
     seed: int = 42
     min_support: int = 1
     parallelism: int = 5
+    # Blocks of users; None takes the cluster's parallelism. There are few items, so few blocks of them.
+    user_blocks: int | None = None
+    item_blocks: int = 8
 
 
 @dataclass(frozen=True)

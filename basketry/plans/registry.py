@@ -17,7 +17,8 @@ from basketry.plans.checked_scores import co_purchase_scores, purchase_shares
 from basketry.plans.flow import Flow
 from basketry.session import tuned
 from basketry.sources import sinks
-from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, retail_tables
+from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, RAW, raw, retail_tables
+from basketry.streaming import events as streams
 
 # Stages that several later ones read; they are written once per query.
 SHARED_STAGES = frozenset((
@@ -31,6 +32,9 @@ CHECK_FACTORS = FactorParams(rank=8, max_iter=5)
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
+# The test events are hours apart, so sessions and carts get longer pauses than in a shop.
+SESSION_GAP = "8 hours"
+CART_WAIT = "240 hours"
 
 
 def flow(spark: SparkSession, folder: str, last: str = "") -> Flow:
@@ -52,8 +56,10 @@ def comparable(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, DoubleType):
             column = F.round(column, 6)
-        elif isinstance(field.dataType, (DateType, TimestampType)):
+        elif isinstance(field.dataType, DateType):
             column = column.cast("string")
+        elif isinstance(field.dataType, TimestampType):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, ArrayType):
             column = F.array_join(column, ",")
         return column.alias(field.name)
@@ -276,6 +282,45 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
 }
 
 
+def _streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Shop events written by a stream over the events file, read back."""
+    cleaned = streams.shop_events(streams.event_stream(spark, folder, RAW["events"]))
+    path = fresh_path(spark, "events")
+    streams.append_to(cleaned, path, fresh_path(spark, "events-progress")).awaitTermination()
+    return spark.read.schema(cleaned.schema).parquet(path)
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return streams.shop_events(raw(spark, folder, "events"))
+
+
+def _live(spark: SparkSession, folder: str) -> DataFrame:
+    recs = staged(_recs(flow(spark, folder)), "recs")
+    return streams.live_recommendations(_events(spark, folder), recs, LOOKUP["region"], LOOKUP["top_n"])
+
+
+EVENT_STAGES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_events": _streamed,
+    "sessions": lambda spark, folder: streams.sessions(_events(spark, folder), SESSION_GAP).drop("seen"),
+    "session_pairs": lambda spark, folder: streams.session_pairs(
+        streams.sessions(_events(spark, folder), SESSION_GAP)
+    ),
+    "cart_abandonment": lambda spark, folder: streams.abandoned_carts(_events(spark, folder), CART_WAIT),
+    "hourly_profile": lambda spark, folder: streams.hourly_profile(
+        streams.hourly_counts(_events(spark, folder))
+    ),
+    "live_recommendations": _live,
+}
+
+
+def _event_query(name: str, stage) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return comparable(stage(tuned(spark), folder))
+
+    run.__name__ = name
+    return run
+
+
 def _query(name: str, stage: Callable[[Flow], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return comparable(stage(flow(tuned(spark), folder, last=name)))
@@ -285,4 +330,6 @@ def _query(name: str, stage: Callable[[Flow], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(name, stage) for name, stage in STAGES.items()}
+    found = {name: _query(name, stage) for name, stage in STAGES.items()}
+    found.update({name: _event_query(name, stage) for name, stage in EVENT_STAGES.items()})
+    return found
