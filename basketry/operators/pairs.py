@@ -35,7 +35,8 @@ def sku_pairs(
 
     Purchases are first counted per basket and SKU, so a basket repeated in many lines weighs no more than
     its distinct SKUs, and n focus and m other purchases add n*m pairs without listing them (1 with
-    `distinct_baskets`). A basket only meets the types its focus types recommend. Baskets with more than
+    `distinct_baskets`). A basket only meets the types its focus types recommend; a focus type that is not
+    listed for itself (rank 0) is no focus. Baskets with more than
     `chunk` SKUs are cut by focus SKU: each part joins a copy of the basket's other SKUs in a task of its own.
     """
     group = [*by, basket_key]
@@ -44,13 +45,15 @@ def sku_pairs(
     heavy = sizes.filter(F.col("_skus") > chunk).select(
         *group, F.ceil(F.col("_skus") / chunk).cast("int").alias("_chunks")
     )
-    types = reference.filter(
-        F.col("recomm_pdm_prod_type_id") != F.col("focus_pdm_prod_type_id")
-    ).select(
+    listed = reference.select(
         *by,
         F.col("focus_pdm_prod_type_id").alias("pdm_prod_type_id"),
         F.col("recomm_pdm_prod_type_id").alias("_type"),
     ).distinct()
+    own = F.col("_type") == F.col("pdm_prod_type_id")
+    types = listed.filter(~own).join(
+        listed.filter(own).drop("_type"), [*by, "pdm_prod_type_id"], "left_semi"
+    )
     focus = _chunked(
         items.join(types, [*by, "pdm_prod_type_id"]), heavy, group,
         lambda chunks: F.pmod(F.xxhash64("item_sku_num"), chunks).cast("int"),

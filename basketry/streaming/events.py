@@ -68,22 +68,24 @@ def session_pairs(closed: DataFrame) -> DataFrame:
         F.col("product_id").alias("item_sku_num"),
     )
     reference = closed.sparkSession.createDataFrame(
-        [(BOUGHT, TOUCHED)], "focus_pdm_prod_type_id int, recomm_pdm_prod_type_id int"
+        [(BOUGHT, BOUGHT), (BOUGHT, TOUCHED)], "focus_pdm_prod_type_id int, recomm_pdm_prod_type_id int"
     )
     mined = pairs.sku_pairs(history, reference, basket_key="session", by=(), distinct_baskets=True)
     return mined.withColumnsRenamed({"Focus": "bought", "Recomm": "touched", "count": "n_sessions"})
 
 
-def abandoned_carts(events: DataFrame, within: str = "24 hours", late: str = "1 hour") -> DataFrame:
-    """Cart events with no purchase of the product by the customer in the time given."""
+def abandoned_carts(events: DataFrame, within: str = "24 hours") -> DataFrame:
+    """Cart events with no purchase of the product by the customer in the time given.
+
+    A stream keeps a cart event until the watermark of the events has passed its time to buy.
+    """
     def side(kind: str, prefix: str) -> DataFrame:
-        chosen = events.filter(F.col("kind") == kind).select(
+        return events.filter(F.col("kind") == kind).select(
             F.col("event_id").alias(f"{prefix}_id"),
             F.col("customer_id").alias(f"{prefix}_customer"),
             F.col("product_id").alias(f"{prefix}_product"),
             F.col("ts").alias(f"{prefix}_ts"),
         )
-        return chosen.withWatermark(f"{prefix}_ts", late) if events.isStreaming else chosen
 
     cart, sale = side("cart_add", "cart"), side("purchase", "sale")
     same = (
