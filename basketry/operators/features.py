@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketry.functions.expressions import as_number, one_if
+from basketry.functions.lineage import staged
 from basketry.params import FEATURES, FILL_DEFAULT, FILL_RULES, LIFE_STAGE_DAYS, LIFE_STAGE_FLAGS
 from basketry.sources.tables import RetailTables
 
@@ -57,16 +58,24 @@ def _renamed(table: DataFrame, columns: dict[str, str], *keys: Column) -> DataFr
 def point_in_time_features(base: DataFrame, tables: RetailTables) -> DataFrame:
     """The base with its address features as known in the fiscal periods FP and FP2.
 
-    Features are looked up once per distinct address and pair of periods, and each feature table is first
-    cut to those keys, so a small base never makes Spark shuffle a whole feature history.
+    Features are looked up once per distinct address and pair of periods. The keys are written first: their
+    range of periods prunes the scans, and their known size lets the planner filter each feature table with
+    them before it shuffles what is left.
     """
     lookup_key = ["address_id", "FP", "FP2"]
-    wanted = base.select(*lookup_key).filter(F.col("address_id").isNotNull()).distinct()
+    wanted = staged(
+        base.select(*lookup_key).filter(F.col("address_id").isNotNull()).distinct(), "lookup_keys"
+    )
+    periods = wanted.agg(*[f(p).alias(f"{n}_{p}") for p in ("FP", "FP2") for n, f in
+                           (("low", F.min), ("high", F.max))]).first()
     found = wanted
     for name, columns, period in LOOKUPS:
         keys = wanted.select("address_id", period).distinct()
+        inside = F.col("fiscal_period_id").between(
+            F.lit(periods[f"low_{period}"]), F.lit(periods[f"high_{period}"])
+        )
         rows = _renamed(
-            getattr(tables, name), columns,
+            getattr(tables, name).filter(inside), columns,
             F.col("address_guid").alias("address_id"), F.col("fiscal_period_id").alias(period),
         ).join(keys, ["address_id", period], "left_semi")
         found = found.join(rows, ["address_id", period], "left")
@@ -78,13 +87,14 @@ def point_in_time_features(base: DataFrame, tables: RetailTables) -> DataFrame:
 def latest_rows(table: DataFrame, addresses: DataFrame) -> DataFrame:
     """Rows of the last fiscal period of each wanted address; equal periods are all kept.
 
-    The maximum is taken by aggregation, so an address with very many rows is combined before the shuffle.
+    The maximum is taken by aggregation before anything is joined, so an address with very many rows is
+    combined before the shuffle.
     """
-    mine = table.join(
+    last = table.groupBy("address_guid").agg(F.max("fiscal_period_id").alias("fiscal_period_id"))
+    mine = last.join(
         addresses.select(F.col("address_id").alias("address_guid")), "address_guid", "left_semi"
     )
-    last = mine.groupBy("address_guid").agg(F.max("fiscal_period_id").alias("fiscal_period_id"))
-    return mine.join(last, list(KEYS)).distinct()
+    return table.join(mine, list(KEYS)).distinct()
 
 
 def latest_features(addresses: DataFrame, tables: RetailTables) -> DataFrame:

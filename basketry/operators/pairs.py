@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.lineage import staged
 from basketry.functions.numbering import consecutive_within
 
 # Focus SKUs of one basket that may meet the basket's recommended SKUs in one task.
@@ -36,14 +37,23 @@ def sku_pairs(
     Purchases are first counted per basket and SKU, so a basket repeated in many lines weighs no more than
     its distinct SKUs, and n focus and m other purchases add n*m pairs without listing them (1 with
     `distinct_baskets`). A basket only meets the types its focus types recommend; a focus type that is not
-    listed for itself (rank 0) is no focus. Baskets with more than
-    `chunk` SKUs are cut by focus SKU: each part joins a copy of the basket's other SKUs in a task of its own.
+    listed for itself (rank 0) is no focus. Baskets with more than `chunk` SKUs are cut by focus SKU: each
+    part joins a copy of the basket's other SKUs in a task of its own.
+
+    The counts are written once for the two sides of the join, and the type pairs and heavy baskets so that
+    the planner knows their size: it broadcasts them only if they are small.
     """
     group = [*by, basket_key]
-    items = history.groupBy(*group, "pdm_prod_type_id", "item_sku_num").agg(F.count(F.lit(1)).alias("n"))
+    items = staged(
+        history.groupBy(*group, "pdm_prod_type_id", "item_sku_num").agg(F.count(F.lit(1)).alias("n")),
+        "basket_items",
+    )
     sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_skus"))
-    heavy = sizes.filter(F.col("_skus") > chunk).select(
-        *group, F.ceil(F.col("_skus") / chunk).cast("int").alias("_chunks")
+    heavy = staged(
+        sizes.filter(F.col("_skus") > chunk).select(
+            *group, F.ceil(F.col("_skus") / chunk).cast("int").alias("_chunks")
+        ),
+        "heavy_baskets",
     )
     listed = reference.select(
         *by,
@@ -51,8 +61,11 @@ def sku_pairs(
         F.col("recomm_pdm_prod_type_id").alias("_type"),
     ).distinct()
     own = F.col("_type") == F.col("pdm_prod_type_id")
-    types = listed.filter(~own).join(
-        listed.filter(own).drop("_type"), [*by, "pdm_prod_type_id"], "left_semi"
+    types = staged(
+        listed.filter(~own).join(
+            listed.filter(own).drop("_type"), [*by, "pdm_prod_type_id"], "left_semi"
+        ),
+        "type_pairs",
     )
     focus = _chunked(
         items.join(types, [*by, "pdm_prod_type_id"]), heavy, group,

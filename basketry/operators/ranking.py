@@ -95,12 +95,11 @@ def type_pair_reference(recs: DataFrame, max_rank: int = 4, max_sku_rank: int =
     kept = F.col("rn") <= max_rank
     if "sku_rank" in recs.columns:
         kept = kept & (F.col("sku_rank") <= max_sku_rank)
-    pairs = recs.filter(kept).select(
-        *FOCUS, F.col("rn").alias("product_type_rank"), "recomm_pdm_prod_type_id"
-    )
-    own = recs.select(
-        *FOCUS,
+    own = F.struct(
         F.lit(0).cast("bigint").alias("product_type_rank"),
         F.col("focus_pdm_prod_type_id").alias("recomm_pdm_prod_type_id"),
     )
-    return pairs.unionByName(own).distinct()
+    pair = F.struct(F.col("rn").cast("bigint").alias("product_type_rank"), "recomm_pdm_prod_type_id")
+    return recs.select(
+        *FOCUS, F.inline(F.when(kept, F.array(own, pair)).otherwise(F.array(own)))
+    ).distinct()

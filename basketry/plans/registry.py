@@ -25,6 +25,10 @@ SHARED_STAGES = frozenset((
     "customer_type_counts", "region_of_customer", "regional_ratings", "reactivated_purchases",
     "reactivation_base", "scoring_customers",
 ))
+# Queries that read the purchase lines twice.
+LINE_QUERIES = frozenset((
+    "sku_pairs", "sku_pairs_by_transaction", "sku_pair_customers", "sku_recommendations",
+))
 # Small models for the checks; the library's defaults are those of a full training run.
 CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none")
 CHECK_FACTORS = FactorParams(rank=8, max_iter=5)
@@ -40,7 +44,8 @@ CART_WAIT = "240 hours"
 def flow(spark: SparkSession, folder: str, last: str = "") -> Flow:
     """Stages over the folder; shared ones are written, except the one the query itself returns."""
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return staged(df, name) if name in SHARED_STAGES and name != last else df
+        shared = name in SHARED_STAGES or (name == "base_transactions" and last in LINE_QUERIES)
+        return staged(df, name) if shared and name != last else df
 
     return Flow(
         retail_tables(spark, folder),
