@@ -30,7 +30,7 @@ LINE_QUERIES = frozenset((
     "sku_pairs", "sku_pairs_by_transaction", "sku_pair_customers", "sku_recommendations",
 ))
 # Small models for the checks; the library's defaults are those of a full training run.
-CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none")
+CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none", parallelism=16)
 CHECK_FACTORS = FactorParams(rank=8, max_iter=5)
 # Every id the test tables can give a type: brand 1-25 and kind 1-6.
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
