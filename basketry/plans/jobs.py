@@ -14,7 +14,7 @@ from basketry.params import (
 )
 from basketry.plans.flow import Flow
 from basketry.session import tuned
-from basketry.sources.sinks import checkpoint_scores, write_table
+from basketry.sources.sinks import checkpoint_scores, finished_partitions, write_table
 from basketry.sources.tables import RetailTables, feature_rows
 
 TYPE = "pdm_prod_type_id"
@@ -108,12 +108,18 @@ class Jobs:
         """
         f = self.flow
         rows = feature_rows(f.scoring_features, FEATURES)
-        models = propensity.load_models(self.spark, self._types(), self._path("models"))
-        if not models:
-            raise ValueError("no model to score with: train first")
         checkpoint = self._path(f"scores_{self.params.returns.as_of:%Y%m%d}")
-        done = checkpoint_scores(propensity.propensity_scores(rows, models), checkpoint)
-        wide = self._wide(self._calibrated(done), "scoring_vectors")
+        # At most one value per modelled type.
+        done = {r[TYPE] for r in finished_partitions(self.spark, checkpoint, TYPE).collect()}
+        models = propensity.load_models(
+            self.spark, [t for t in self._types() if t not in done], self._path("models")
+        )
+        if models:
+            checkpoint_scores(propensity.propensity_scores(rows, models), checkpoint)
+        elif not done:
+            raise ValueError("no model to score with: train first")
+        scores = self.spark.read.parquet(checkpoint).withColumn(TYPE, F.col(TYPE).cast("bigint"))
+        wide = self._wide(self._calibrated(scores), "scoring_vectors")
         clusters = PipelineModel.load(self._path("cluster_model"))
         return self._write(segments.assign_clusters(wide, clusters), "clusters")
 

@@ -178,11 +178,11 @@ def _calibrated(f: Flow) -> DataFrame:
 
 
 def _score_checkpoint(f: Flow) -> DataFrame:
-    """A first run that got through the odd types only, then a full rerun."""
+    """A run that finished all types, then a rerun whose other values must not replace them."""
     scores = _shares(f)
     path = fresh_path(scores.sparkSession, "scores")
-    sinks.checkpoint_scores(scores.filter(F.col("pdm_prod_type_id") % 2 == 1), path)
-    return sinks.checkpoint_scores(scores, path)
+    sinks.checkpoint_scores(scores, path)
+    return sinks.checkpoint_scores(scores.withColumn("p", -F.col("p")), path)
 
 
 def _write_table(f: Flow) -> DataFrame:
