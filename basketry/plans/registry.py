@@ -34,6 +34,8 @@ CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none", parallelism=1
 CHECK_FACTORS = FactorParams(rank=8, max_iter=5)
 # Every id the test tables can give a type: brand 1-25 and kind 1-6.
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
+# Cents divided by whole units can end in a five at the seventh digit, where engines round differently.
+DIGITS = {"base_transactions": 8}
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
 # The test events are hours apart, so sessions and carts get longer pauses than in a shop.
@@ -55,12 +57,12 @@ def flow(spark: SparkSession, folder: str, last: str = "") -> Flow:
     )
 
 
-def comparable(df: DataFrame) -> DataFrame:
+def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Dates and arrays as text and doubles rounded, so that rows compare by value."""
     def shown(field) -> Column:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, DoubleType):
-            column = F.round(column, 6)
+            column = F.round(column, digits)
         elif isinstance(field.dataType, DateType):
             column = column.cast("string")
         elif isinstance(field.dataType, TimestampType):
@@ -328,7 +330,7 @@ def _event_query(name: str, stage) -> Callable[[SparkSession, str], DataFrame]:
 
 def _query(name: str, stage: Callable[[Flow], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(stage(flow(tuned(spark), folder, last=name)))
+        return comparable(stage(flow(tuned(spark), folder, last=name)), DIGITS.get(name, 6))
 
     run.__name__ = name
     return run

@@ -49,23 +49,18 @@ def finished_partitions(spark: SparkSession, path: str, column: str) -> DataFram
         return spark.createDataFrame([], f"{column} bigint")
 
 
-def checkpoint_scores(
-    scores: DataFrame, path: str, column: str = "pdm_prod_type_id", files_per_value: int = 8
-) -> DataFrame:
+def checkpoint_scores(scores: DataFrame, path: str, column: str = "pdm_prod_type_id") -> DataFrame:
     """Add the scores of types not yet written, each type in its own partition, and return all of them.
 
     A rerun after a failure skips the types it finds, and an interrupted write leaves no partition behind:
-    Spark moves partitions into place when the whole job commits. Rows of one type are spread over several
-    tasks and files.
+    Spark moves partitions into place when the whole job commits. Rebalancing gathers the rows of small types
+    and splits those of large ones, so files come out at the session's advisory size.
     """
     spark = scores.sparkSession
     done = finished_partitions(spark, path, column)
     todo = scores.join(done.select(F.col(column).cast("bigint")), column, "left_anti")
-    spread = F.pmod(F.xxhash64(*[c for c in scores.columns if c != column]), F.lit(files_per_value))
     (
-        todo.withColumn("_spread", spread)
-        .repartition(column, "_spread")
-        .drop("_spread")
+        todo.hint("rebalance", F.col(column))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
