@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from basketry.llm import packing, simhash
+from basketry.llm import decontaminate, langid, packing, pii, simhash
 
-MODULES = (packing, simhash)
+MODULES = (decontaminate, langid, packing, pii, simhash)
 
 
 def queries() -> dict:
