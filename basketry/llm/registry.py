@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, langid, packing, pii, simhash
+from basketry.llm import (
+    chats, decontaminate, langid, licenses, packing, pii, quality, rollups, simhash, urls,
+)
 
-MODULES = (decontaminate, langid, packing, pii, simhash)
+MODULES = (licenses, packing, decontaminate, simhash, quality, langid, rollups, urls, pii, chats)
 
 
 def queries() -> dict:
