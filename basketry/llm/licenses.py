@@ -162,14 +162,27 @@ class LicenseIndex:
             own = self.words[template]
             for low, high in some:
                 for first_start in range(low, high + 1, self.band + 1):
-                    origin = max(0, first_start - 2 * self.band)
                     last = min(high, first_start + self.band)
-                    near = ids[origin:last + len(own) + 2 * self.band]
-                    matched, first, end = align(own, near, first_start - self.band - origin, last + self.band - origin)
-                    if matched >= coverage * len(own) and end > first:
-                        found.append((template, matched, matched / len(own), origin + first, origin + end))
+                    begin, stop = max(0, first_start - 2 * self.band), last + len(own) + 2 * self.band
+                    found += self._aligned(template, ids, begin, stop, first_start - self.band, last + self.band, coverage)
         return self._placed(text, found)
 
+    def _aligned(
+        self, template: int, ids: np.ndarray, begin: int, stop: int, low: int, high: int, coverage: float
+    ) -> list[tuple[int, int, float, int, int]]:
+        """Matches in the words from begin to stop on the diagonals from low to high, the best one first and then
+        those beside it: a notice may be repeated within the band."""
+        own, found, open_ = self.words[template], [], [(begin, min(stop, len(ids)))]
+        while open_:
+            begin, stop = open_.pop()
+            if stop - begin < coverage * len(own):
+                continue
+            matched, first, end = align(own, ids[begin:stop], low - begin, high - begin)
+            if matched >= coverage * len(own) and end > first:
+                found.append((template, matched, matched / len(own), begin + first, begin + end))
+                open_ += [(begin, begin + first), (begin + end, stop)]
+        return found
+
     def _placed(self, text: str, found: list) -> list:
         if not found:
             return []

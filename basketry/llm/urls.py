@@ -33,12 +33,18 @@ BLOCKED_HOSTS = (
     "betting-tips", "free-bets-now", "pills-online", "cheap-meds", "cheap-watches", "viagra-shop", "adult-videos",
     "xxx-tube", "adult-dating", "ads-network", "ad-tracker", "click-track", "banner-ads", "spam-links", "link-farm",
     "seo-spam", "free-download-crack", "warez-keygen", "payday-loans", "get-rich-quick", "lottery-winner",
+    "casino", "royal-casino", "casinoplay", "bets", "bigbets", "jackpot", "pills", "cheappills", "dietpills", "cheap",
+    "adult", "adults-only", "xxx", "spam", "spammers", "farm-links", "ads", "ads-click", "tracker", "free-casino",
 )
 ALLOWED_HOSTS = (
     "library", "daily-news", "university", "science-journal", "city-museum", "weather", "recipes", "garden-club",
     "history", "open-data", "docs", "wiki", "physics", "schools", "bookshop", "mountain-guide", "travel-notes",
     "health-service", "parliament", "chess", "music", "theatre", "railway", "astronomy", "mathematics", "forum",
     "language-lessons", "there", "other", "station", "nation", "hand", "rest", "thing", "these", "reason",
+    "town-hall", "city-park", "public-library", "bus-station", "fire-station", "old-maps", "art-gallery",
+    "river-boats", "national-park", "tea-house", "book-club", "chess-club", "yacht-club", "rowing-club",
+    "weather-map", "snow-weather", "village-school", "night-sky", "poetry-archive", "royal-palace", "farmers-market",
+    "winter-sports", "freedom", "tractor", "advice", "additions", "window-makers", "better-health",
 )
 ENDINGS, SUBDOMAINS, PATHS = ("example.com", "example.net", "example.org"), ("", "www.", "blog.", "m."), (
     "/en/12", "/de/345", "/fr/678/", "/es/90.html", "/",
