@@ -7,7 +7,7 @@ if the score is at least the threshold. Log-ratios are whole millionths, so sums
 every order of the rows.
 
 The target is fitted on a sample of at most TARGET_DOCS labelled documents, the smallest hashes of doc_id; the
-corpus counts have no bound. Buckets are smoothed by one count. Without labels both multinomials are flat and
+corpus counts have no bound. The target is smoothed towards the raw corpus. Without labels the two are equal and
 only the base rules decide.
 
 Null, empty and blank texts have no words: all counts are 0, they fail the base rules and are not kept. Repeated
@@ -117,13 +117,16 @@ def bucket_counts(docs: DataFrame, n: int) -> dict[int, int]:
 def log_ratios(docs: DataFrame, labels: DataFrame, n: int = BUCKETS, target_docs: int = TARGET_DOCS) -> list[int]:
     """log(target / raw) of every bucket in millionths."""
     raw = bucket_counts(docs, n)
+    every = sum(raw.values())
     trusted = docs.select("doc_id", "text").join(F.broadcast(trusted_ids(labels, target_docs)), "doc_id", "left_semi")
     target = bucket_counts(trusted, n)
     if not target:
         return [0] * n
-    all_raw, all_target = sum(raw.values()) + n, sum(target.values()) + n
+    # The target is smoothed with n counts spread like the raw corpus, so little evidence pulls a ratio to 1.
+    all_target = sum(target.values())
     return [
-        round(UNIT * math.log((target.get(b, 0) + 1) / all_target * all_raw / (raw.get(b, 0) + 1))) for b in range(n)
+        round(UNIT * math.log((target.get(b, 0) / raw[b] * every + n) / (all_target + n))) if b in raw else 0
+        for b in range(n)
     ]
 
 

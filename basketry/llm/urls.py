@@ -14,6 +14,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -102,7 +103,7 @@ def fit_urls(labelled: DataFrame, buckets: int = BUCKETS) -> LogisticRegressionM
     rows = staged(with_features(rows, buckets), "url-features")
     if rows.select("label").distinct().count() < 2:
         return None
-    return LogisticRegression(regParam=0.01, maxIter=50, standardization=False).fit(rows)
+    return LogisticRegression(regParam=0.001, maxIter=100, standardization=False).fit(rows)
 
 
 def judge_urls(
@@ -127,13 +128,12 @@ def judge_urls(
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): the hosts labelled by hand, each under a few subdomains, endings and paths that don't tell."""
+    """(url, label): the hosts labelled by hand, each below all subdomains and endings, which don't tell."""
     rows = []
     for label, hosts in ((1, BLOCKED_HOSTS), (0, ALLOWED_HOSTS)):
         for i, host in enumerate(hosts):
-            for j, ending in enumerate(ENDINGS):
-                sub, path = SUBDOMAINS[(i + j) % len(SUBDOMAINS)], PATHS[(i + 2 * j) % len(PATHS)]
-                rows.append((f"https://{sub}{host}.{ending}{path}", label))
+            for j, (sub, ending) in enumerate(product(SUBDOMAINS, ENDINGS)):
+                rows.append((f"https://{sub}{host}.{ending}{PATHS[(i + j) % len(PATHS)]}", label))
     return spark.createDataFrame(rows, "url string, label int")
 
 
