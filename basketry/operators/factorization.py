@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.lineage import staged, use_checkpoints
@@ -77,11 +77,13 @@ def seed_scores(models: Mapping[str, ALSModel], indexed: DataFrame, top: int) ->
     frames = []
     for region, model in models.items():
         users = seeds.filter(F.col("region") == region).select("user_index").distinct()
-        best = model.recommendForUserSubset(users, top)
+        # All items are fetched and cut afterwards, so equal scores at the cut go by id.
+        best = model.recommendForUserSubset(users, model.itemFactors.count())
         frames.append(best.select(F.lit(region).alias("region"), "user_index", F.inline("recommendations")))
     scored = frames[0]
     for frame in frames[1:]:
         scored = scored.unionByName(frame)
+    best_first = Window.partitionBy("region", "customer_id").orderBy(F.desc("confidence"), "pdm_prod_type_id")
     return (
         scored.join(seeds, ["region", "user_index"])
         .join(items, ["region", "item_index"])
@@ -91,6 +93,9 @@ def seed_scores(models: Mapping[str, ALSModel], indexed: DataFrame, top: int) ->
             "pdm_prod_type_id",
             F.col("rating").cast("double").alias("confidence"),
         )
+        .withColumn("_place", F.row_number().over(best_first))
+        .filter(F.col("_place") <= top)
+        .drop("_place")
     )
 
 

@@ -84,12 +84,14 @@ def point_in_time_features(base: DataFrame, tables: RetailTables) -> DataFrame:
     return base.join(found, lookup_key, "left").select(*base.columns, *TRAINING_FEATURES)
 
 
-def latest_rows(table: DataFrame, addresses: DataFrame) -> DataFrame:
-    """Rows of the last fiscal period of each wanted address; equal periods are all kept.
+def latest_rows(table: DataFrame, addresses: DataFrame, last_period: int | None = None) -> DataFrame:
+    """Rows of the last fiscal period of each wanted address, up to last_period if given; equal periods are all kept.
 
     The maximum is taken by aggregation before anything is joined, so an address with very many rows is
     combined before the shuffle.
     """
+    if last_period is not None:
+        table = table.filter(F.col("fiscal_period_id") <= last_period)
     last = table.groupBy("address_guid").agg(F.max("fiscal_period_id").alias("fiscal_period_id"))
     mine = last.join(
         addresses.select(F.col("address_id").alias("address_guid")), "address_guid", "left_semi"
@@ -97,23 +99,25 @@ def latest_rows(table: DataFrame, addresses: DataFrame) -> DataFrame:
     return table.join(mine, list(KEYS)).distinct()
 
 
-def latest_features(addresses: DataFrame, tables: RetailTables) -> DataFrame:
-    """Latest features of every wanted address, whatever their periods."""
+def latest_features(addresses: DataFrame, tables: RetailTables, last_period: int | None = None) -> DataFrame:
+    """Latest features of every wanted address, of any period up to last_period."""
     found = addresses
     for name, columns, _ in LOOKUPS:
         rows = _renamed(
-            latest_rows(getattr(tables, name), addresses), columns,
+            latest_rows(getattr(tables, name), addresses, last_period), columns,
             F.col("address_guid").alias("address_id"),
         )
         found = found.join(rows, "address_id", "left")
     return found.distinct()
 
 
-def latest_events(history: DataFrame) -> DataFrame:
+def latest_events(history: DataFrame, as_of=None) -> DataFrame:
     """Events of each customer's last event date.
 
     Reduced to one row per customer and event name first, so the window never holds more than the names.
     """
+    if as_of is not None:
+        history = history.filter(F.col("lifestage_date") <= F.lit(as_of))
     last = history.groupBy("customer_guid", "lifestage_event").agg(
         F.max("lifestage_date").alias("lifestage_date")
     )
@@ -140,16 +144,17 @@ def event_windows(events: DataFrame) -> DataFrame:
     )
 
 
-def life_stage_flags(base: DataFrame, history: DataFrame, date: str) -> DataFrame:
+def life_stage_flags(base: DataFrame, history: DataFrame, date: str, as_of=None) -> DataFrame:
     """Customer and date with 1 for each life-stage event that covers the date, else 0.
 
-    Only a customer's latest event date counts, even if an older event still covers the date.
+    Only a customer's latest event date counts, even if an older event still covers the date; with as_of, the
+    latest one up to that day.
     """
     wanted = base.select("customer_id", date).distinct()
     windows = event_windows(
         latest_events(history.join(
             wanted.select(F.col("customer_id").alias("customer_guid")), "customer_guid", "left_semi"
-        ))
+        ), as_of)
     ).withColumnRenamed("customer_id", "_customer")
     covered = (F.col("customer_id") == F.col("_customer")) & F.col(date).between(
         F.col("start_date"), F.col("end_date")
@@ -174,9 +179,9 @@ def scoring_features(listed: DataFrame, tables: RetailTables, as_of) -> DataFram
     """Scoring table: listed customers with the latest features of their address."""
     addresses = listed.select("address_id").filter(F.col("address_id").isNotNull()).distinct()
     dated = listed.select("customer_id").withColumn("_today", F.lit(as_of).cast("date"))
-    flags = life_stage_flags(dated, tables.life_stage_history, "_today").drop("_today")
+    flags = life_stage_flags(dated, tables.life_stage_history, "_today", as_of).drop("_today")
     return (
-        listed.join(latest_features(addresses, tables), "address_id", "left")
+        listed.join(latest_features(addresses, tables, as_of.year * 100 + as_of.month), "address_id", "left")
         .join(flags, "customer_id")
         .select(*listed.columns, *TRAINING_FEATURES, "MOVER")
         .distinct()

@@ -74,9 +74,10 @@ def reactivated_purchases(
 
 
 def sale_transactions(sales_txn: DataFrame, xref: DataFrame, params: ReactivationParams) -> DataFrame:
-    """Customer, date and transaction of counted sales."""
+    """Customer, date and transaction of sales counted up to the day of the run."""
     sales = sales_txn.filter(
         (F.col("concept_format_id") == params.concept_format_id)
+        & (F.col("transaction_booked_date") <= F.lit(params.as_of))
         & F.col("gross_sales").isNotNull()
         & F.col("sales_transaction_type_code").isin(*params.sale_types)
     ).select("transaction_guid", "transaction_booked_date")

@@ -139,9 +139,10 @@ class TreeParams:
 
 @dataclass(frozen=True)
 class ClusterParams:
-    """K-means over the score vectors; clusters=None takes log10 of the row count, 2 at least."""
+    """K-means over the score vectors; clusters=None takes log10 of the row count, 2 at least, which changes what
+    a cluster means as the table grows."""
 
-    clusters: int | None = None
+    clusters: int | None = 4
     standardize: bool = True
     max_iter: int = 20
     seed: int = 42

@@ -181,7 +181,8 @@ class Flow:
         addresses = self.scoring_customers.select("address_id").filter(
             F.col("address_id").isNotNull()
         ).distinct()
-        return features.latest_features(addresses, self.tables)
+        day = self.returns.as_of
+        return features.latest_features(addresses, self.tables, day.year * 100 + day.month)
 
     @cached_property
     def scoring_features(self) -> DataFrame:

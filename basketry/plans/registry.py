@@ -17,7 +17,7 @@ from basketry.plans.checked_scores import co_purchase_scores, purchase_shares
 from basketry.plans.flow import Flow
 from basketry.session import tuned
 from basketry.sources import sinks
-from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, RAW, raw, retail_tables
+from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, RAW, raw, retail_tables, shop_rows
 from basketry.streaming import events as streams
 
 # Stages that several later ones read; they are written once per query.
@@ -31,7 +31,7 @@ LINE_QUERIES = frozenset((
 ))
 # Small models for the checks; the library's defaults are those of a full training run.
 CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none", parallelism=16)
-CHECK_FACTORS = FactorParams(rank=8, max_iter=5)
+CHECK_FACTORS = FactorParams()
 # Every id the test tables can give a type: brand 1-25 and kind 1-6.
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
 # Cents divided by whole units can end in a five at the seventh digit, where engines round differently.
@@ -291,14 +291,16 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
 
 def _streamed(spark: SparkSession, folder: str) -> DataFrame:
     """Shop events written by a stream over the events file, read back."""
-    cleaned = streams.shop_events(streams.event_stream(spark, folder, RAW["events"]))
+    cleaned = streams.shop_events(
+        shop_rows(streams.event_stream(spark, folder, RAW["events"], glob="events*.parquet"))
+    )
     path = fresh_path(spark, "events")
     streams.append_to(cleaned, path, fresh_path(spark, "events-progress")).awaitTermination()
     return spark.read.schema(cleaned.schema).parquet(path)
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return streams.shop_events(raw(spark, folder, "events"))
+    return streams.shop_events(shop_rows(raw(spark, folder, "events")))
 
 
 def _live(spark: SparkSession, folder: str) -> DataFrame:

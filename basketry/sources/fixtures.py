@@ -289,3 +289,13 @@ class _Views:
             F.date_add(start, later.cast("int")).alias("lifestage_date"),
         )
         return first.unionByName(second)
+
+
+def shop_rows(events: DataFrame) -> DataFrame:
+    """The test events as rows of shop events. The test table has no cart events; its clicks stand for them."""
+    kinds = {"view": "view", "click": "cart_add", "purchase": "purchase"}
+    named = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    return events.select(
+        "event_id", "ts", F.col("user_id").alias("customer_id"), named[F.col("event_type")].alias("kind"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("product_id"),
+    )

@@ -11,35 +11,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.operators import pairs
 
-# Source event names and what they stand for; other events are not shop events.
-SHOP_EVENTS = {"view": "view", "click": "cart_add", "purchase": "purchase"}
+# The kinds of shop events; others are dropped.
+KINDS = ("view", "click", "cart_add", "purchase")
 # Sides of a session pair: what was bought, and what was seen or put in the cart.
 BOUGHT, TOUCHED = 1, 2
 
 
-def event_stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
-    """New Parquet files of a folder as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "events*.parquet")
-        .parquet(folder)
-    )
+def event_stream(
+    spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 100, glob: str | None = None
+) -> DataFrame:
+    """New Parquet files of a folder as a stream: all of them, or those whose names fit the glob."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.parquet(folder)
 
 
 def shop_events(raw: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Shop events by customer, kind, product and time, each event id once.
+    """Shop events of rows (event_id, ts, customer_id, kind, product_id), each event id once.
 
     Duplicates are remembered as long as the watermark allows, so the state does not grow with the stream.
     """
-    events = raw.select(
-        "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("user_id").alias("customer_id"),
-        F.create_map(*[F.lit(x) for pair in SHOP_EVENTS.items() for x in pair])[F.col("event_type")]
-        .alias("kind"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("product_id"),
-    ).filter(F.col("kind").isNotNull() & F.col("product_id").isNotNull())
+    events = raw.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "customer_id", "kind", "product_id").filter(
+        F.col("kind").isin(*KINDS) & F.col("product_id").isNotNull()
+    )
     if raw.isStreaming:
         return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
     return events.dropDuplicates(["event_id"])

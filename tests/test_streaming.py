@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions.lineage import fresh_path
-from basketry.sources.fixtures import RAW, raw
+from basketry.sources.fixtures import RAW, raw, shop_rows
 from basketry.streaming import events as streams
 
 
@@ -38,15 +38,15 @@ def finish(spark, df):
 
 
 def test_cleaned_events(spark, folder, source, rows):
-    batch = streams.shop_events(raw(spark, folder, "events"))
-    cleaned = streams.shop_events(stream(spark, source), late="30 days")
+    batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
+    cleaned = streams.shop_events(shop_rows(stream(spark, source)), late="30 days")
     written, _ = finish(spark, cleaned)
     assert rows(written) == rows(batch)
 
 
 def test_sessions_and_hours(spark, folder, source, rows):
-    batch = streams.shop_events(raw(spark, folder, "events"))
-    live = streams.shop_events(stream(spark, source), late="1 second")
+    batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
+    live = streams.shop_events(shop_rows(stream(spark, source)), late="1 second")
     # What the watermark has not closed yet is missing at the end; what is there must be the same.
     for make in (lambda e: streams.sessions(e, "2 hours").drop("seen"), streams.hourly_counts):
         expected = rows(make(batch))
@@ -56,8 +56,8 @@ def test_sessions_and_hours(spark, folder, source, rows):
 
 
 def test_abandoned_carts(spark, folder, source, rows):
-    batch = streams.shop_events(raw(spark, folder, "events"))
-    live = streams.shop_events(stream(spark, source), late="1 second")
+    batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
+    live = streams.shop_events(shop_rows(stream(spark, source)), late="1 second")
     expected = rows(streams.abandoned_carts(batch))
     got = rows(finish(spark, streams.abandoned_carts(live))[0])
     assert len(got) > len(expected) * 0.5
@@ -69,8 +69,8 @@ def test_live_recommendations(spark, folder, source, rows):
         [("South", 5, 50, 1), ("South", 5, 51, 2), ("West", 5, 52, 1)],
         "region string, focus_pdm_prod_type_id bigint, recomm_pdm_prod_type_id bigint, rn bigint",
     )
-    batch = streams.shop_events(raw(spark, folder, "events"))
-    live = streams.shop_events(stream(spark, source), late="30 days")
+    batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
+    live = streams.shop_events(shop_rows(stream(spark, source)), late="30 days")
     shown, _ = finish(spark, streams.live_recommendations(live, recs, "South", 1))
     expected = streams.live_recommendations(batch, recs, "South", 1)
     assert rows(shown) == rows(expected)
@@ -89,6 +89,15 @@ def test_session_pairs(spark, rows):
         [(n, at + dt.timedelta(minutes=m), u, k, 0.0, f'{{"k": {p}}}') for n, m, u, k, p in seen],
         RAW["events"].replace("timestamp_ntz", "timestamp"),
     )
-    sessions = streams.sessions(streams.shop_events(raw_events))
+    sessions = streams.sessions(streams.shop_events(shop_rows(raw_events)))
     assert sessions.count() == 5
     assert rows(streams.session_pairs(sessions)) == [(2, 1, 2), (2, 3, 1)]
+
+
+def test_any_file_name_and_every_kind(spark):
+    made = [(i, dt.datetime(2024, 1, 1, i), 7, kind, 5) for i, kind in enumerate(("view", "click", "cart_add", "purchase", "hover"))]
+    schema = "event_id bigint, ts timestamp, customer_id bigint, kind string, product_id bigint"
+    path = fresh_path(spark, "landing")
+    spark.createDataFrame(made, schema).write.parquet(path)
+    written, _ = finish(spark, streams.shop_events(streams.event_stream(spark, path, schema)))
+    assert sorted(r.kind for r in written.collect()) == ["cart_add", "click", "purchase", "view"]
