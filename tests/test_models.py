@@ -145,7 +145,7 @@ def test_clusters(spark):
     rng = random.Random(4)
     data = [(n, n % 2 + rng.random() / 10, 5 * (n % 2) + rng.random()) for n in range(60)]
     wide = spark.createDataFrame(data, "customer_id bigint, p1 double, p2 double")
-    model = segments.fit_clusters(wide, ClusterParams(standardize=False))
+    model = segments.fit_clusters(wide, ClusterParams(clusters=None, standardize=False))
     assigned = segments.assign_clusters(wide, model)
     assert assigned.columns == ["CENTROID_ID", "customer_id", "p1", "p2"]
     nearest = segments.nearest_centroid(wide, segments.centroids(model), ["p1", "p2"])
