@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -60,16 +62,29 @@ def classifier(params: TreeParams) -> GBTClassifier:
     return gbt if params.positive_weight == 1 else gbt.setWeightCol("weight")
 
 
-def model_path(folder: str, type_id: int) -> str:
-    return f"{folder}/type={type_id}"
+# Settings that do not change a fitted model.
+_RUN_ONLY = ("parallelism", "checkpoint_interval", "calibration")
+
+
+def run_id(training: DataFrame, params: TreeParams, features: Sequence[str] = FEATURES) -> str:
+    """Names what a model was fitted to: the rows, whatever their order, the features and the settings."""
+    columns = [F.col(c) for c in (TYPE, *features)]
+    row_hash = F.xxhash64(*columns).cast("decimal(38,0)")
+    rows, total = training.agg(F.count(F.lit(1)), F.sum(row_hash)).first()
+    settings = sorted((k, v) for k, v in asdict(params).items() if k not in _RUN_ONLY)
+    return hashlib.sha256(repr((rows, str(total), tuple(features), settings)).encode()).hexdigest()[:16]
+
+
+def model_path(folder: str, run: str, type_id: int) -> str:
+    return f"{folder}/run={run}/type={type_id}"
 
 
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """One row per saved model; no rows if nothing was trained yet."""
-    schema = f"{TYPE} bigint, n_rows bigint, n_positive bigint, trees bigint"
+    schema = f"{TYPE} bigint, n_rows bigint, n_positive bigint, trees bigint, run string"
     try:
         return spark.read.schema(schema).parquet(f"{folder}/manifest").select(
-            TYPE, "n_rows", "n_positive", "trees"
+            TYPE, "n_rows", "n_positive", "trees", "run"
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -77,9 +92,12 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _record(spark: SparkSession, folder: str, type_id: int, n_rows: int, n_positive: int, trees: int) -> None:
+def _record(
+    spark: SparkSession, folder: str, type_id: int, n_rows: int, n_positive: int, trees: int, run: str
+) -> None:
     # A folder per type: fits finish at the same time, and commits to one folder would collide.
-    entry = spark.createDataFrame([(n_rows, n_positive, trees)], "n_rows bigint, n_positive bigint, trees bigint")
+    schema = "n_rows bigint, n_positive bigint, trees bigint, run string"
+    entry = spark.createDataFrame([(n_rows, n_positive, trees, run)], schema)
     entry.coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest/{TYPE}={type_id}")
 
 
@@ -93,11 +111,14 @@ def train_propensity(
     """Fit and save a model per type; every model sees all sampled rows, its own type as positives.
 
     The feature vectors are written once for all fits. Several fits run at a time, so that small fits share
-    the cluster. Each finished model is added to the manifest, and a rerun loads it instead of fitting again.
+    the cluster. Each finished model is added to the manifest. A rerun on the same rows with the same settings
+    loads it instead of fitting again; other rows or settings are another run, fitted anew in a folder of its
+    own, and the manifest names the latest finished model of each type.
     """
     spark = training.sparkSession
     use_checkpoints(spark)
-    finished = {row[TYPE] for row in read_manifest(spark, folder).select(TYPE).collect()}
+    run = run_id(training, params, features)
+    finished = {row[TYPE] for row in read_manifest(spark, folder).filter(F.col("run") == run).select(TYPE).collect()}
     sampled = sample_rows(training, params.train_share, params.seed)
     rows = staged(assembled(sampled, features, keep=[TYPE]), "training")
     todo = [t for t in type_ids if t not in finished]
@@ -113,8 +134,8 @@ def train_propensity(
             weight = F.when(F.col("label") == 1, params.positive_weight).otherwise(1.0)
             data = data.withColumn("weight", weight)
         model = gbt.fit(data)
-        model.write().overwrite().save(model_path(folder, type_id))
-        _record(spark, folder, type_id, n_rows, positives.get(type_id, 0), model.getNumTrees)
+        model.write().overwrite().save(model_path(folder, run, type_id))
+        _record(spark, folder, type_id, n_rows, positives.get(type_id, 0), model.getNumTrees, run)
         return model
 
     with ThreadPoolExecutor(params.parallelism) as pool:
@@ -127,13 +148,14 @@ def load_models(
     spark: SparkSession, type_ids: Sequence[int], folder: str, parallelism: int = 8
 ) -> dict[int, GBTClassificationModel]:
     """Saved models of the types; types without one are skipped with a warning."""
-    known = {row[TYPE] for row in read_manifest(spark, folder).select(TYPE).collect()}
+    known = {row[TYPE]: row["run"] for row in read_manifest(spark, folder).select(TYPE, "run").collect()}
     missing = [t for t in type_ids if t not in known]
     if missing:
         log.warning("no model for product types %s: skipped", missing)
     wanted = [t for t in type_ids if t in known]
     with ThreadPoolExecutor(parallelism) as pool:
-        return dict(zip(wanted, pool.map(lambda t: GBTClassificationModel.load(model_path(folder, t)), wanted)))
+        paths = [model_path(folder, known[t], t) for t in wanted]
+        return dict(zip(wanted, pool.map(GBTClassificationModel.load, paths)))
 
 
 def propensity_scores(

@@ -76,3 +76,14 @@ def supported_types(counts: DataFrame, min_rows: int) -> DataFrame:
     return counts.join(
         common.filter(F.col("_n") >= min_rows).select("pdm_prod_type_id"), "pdm_prod_type_id", "left_semi"
     )
+
+
+def supported_ratings(ratings: DataFrame, counts: DataFrame, min_customers: int) -> DataFrame:
+    """Ratings of the types that at least `min_customers` customers bought.
+
+    Support is counted before customers are repeated by region and seed rows are added.
+    """
+    if min_customers <= 1:
+        return ratings
+    types = supported_types(counts, min_customers).select("pdm_prod_type_id").distinct()
+    return ratings.join(types, "pdm_prod_type_id", "left_semi")

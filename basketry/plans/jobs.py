@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -56,9 +57,7 @@ class Jobs:
     def type_pairs(self) -> DataFrame:
         """Recommended product types per region and focus type."""
         p, f = self.params, self.flow
-        ratings = f.regional_ratings
-        if p.factors.min_support > 1:
-            ratings = purchases.supported_types(ratings, p.factors.min_support)
+        ratings = purchases.supported_ratings(f.regional_ratings, f.customer_type_counts, p.factors.min_support)
         ids = self._write(f.surrogate_ids, "surrogate_ids")
         indexed = factorization.indexed_ratings(ratings, ids)
         models = factorization.fit_regional_als(indexed, p.pairs.regions, p.factors)
@@ -104,11 +103,11 @@ class Jobs:
     def score(self) -> DataFrame:
         """Scores and clusters of at-risk and lapsed customers. Needs train.
 
-        Scores of finished types are kept from an interrupted run of the same day.
+        Scores of finished types are kept from an interrupted run of the same day with the same models.
         """
         f = self.flow
         rows = feature_rows(f.scoring_features, FEATURES)
-        checkpoint = self._path(f"scores_{self.params.returns.as_of:%Y%m%d}")
+        checkpoint = self._path(f"scores_{self.params.returns.as_of:%Y%m%d}_{self._models_id()}")
         # At most one value per modelled type.
         done = {r[TYPE] for r in finished_partitions(self.spark, checkpoint, TYPE).collect()}
         models = propensity.load_models(
@@ -123,6 +122,13 @@ class Jobs:
         clusters = PipelineModel.load(self._path("cluster_model"))
         return self._write(segments.assign_clusters(wide, clusters), "clusters")
 
+    def _models_id(self) -> str:
+        """Names the models in use: the run each modelled type was fitted in."""
+        fitted = propensity.read_manifest(self.spark, self._path("models")).select(TYPE, "run").collect()
+        wanted = set(self._types())
+        runs = sorted((r[TYPE], r["run"]) for r in fitted if r[TYPE] in wanted)
+        return hashlib.sha256(repr(runs).encode()).hexdigest()[:16]
+
     def _types(self) -> list[int]:
         return sorted(r[TYPE] for r in self._read("shopping_types").collect())
 

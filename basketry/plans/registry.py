@@ -245,6 +245,7 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "item_seed_rows": lambda f: f.item_seed_rows,
     "regional_ratings": lambda f: f.regional_ratings,
     "supported_types": lambda f: purchases.supported_types(f.customer_type_counts, 3),
+    "supported_ratings": lambda f: purchases.supported_ratings(f.regional_ratings, f.customer_type_counts, 10),
     "regional_als": _als_scores,
     "candidate_lists": _candidate_lists,
     "ranked_candidates": _candidates,

@@ -1,6 +1,7 @@
 """Properties of fitted models and of what is made of their scores."""
 
 import math
+import dataclasses
 import random
 
 import pytest
@@ -73,6 +74,26 @@ def test_rerun_keeps_finished_models(spark, training, trained):
     assert manifest == {10: (400, 3), 20: (400, 3), 30: (400, 3)}
 
 
+def test_new_rows_and_new_settings_refit(spark, training):
+    folder = fresh_path(spark, "models")
+
+    def train(rows, params):
+        models = propensity.train_propensity(rows, [10], folder, params, FEATURES)
+        entry = propensity.read_manifest(spark, folder).first()
+        return models[10], entry
+
+    first, entry = train(training, TREES)
+    # The same rows in another order are the same run.
+    again, same = train(training.repartition(3), TREES)
+    assert again.uid == first.uid and same == entry
+    deeper, changed = train(training, dataclasses.replace(TREES, trees=5))
+    assert (deeper.getNumTrees, changed.trees) == (5, 5) and changed.run != entry.run
+    later, grown = train(training.union(training.limit(10)), dataclasses.replace(TREES, trees=5))
+    assert grown.n_rows == 410 and later.uid != deeper.uid
+    # The manifest names the latest run, and that is what is loaded.
+    assert propensity.load_models(spark, [10], folder)[10].uid == later.uid
+
+
 def test_weighted_training(spark, training):
     heavy = TreeParams(trees=2, max_depth=2, learning_rate=0.3, feature_share=1.0, train_share=1.0,
                        positive_weight=5.0, calibration="none")

@@ -75,6 +75,9 @@ def test_base_transactions(spark, rows):
     assert rows(counts) == [(7, 10, 2), (7, 20, 1), (9, 10, 1)]
     assert rows(purchases.multi_type_customers(counts)) == [(7, 2)]
     assert rows(purchases.supported_types(counts, 2), "customer_id") == [(7,), (9,)]
+    # Support is counted in customers: seed rows and repeated regions don't lift type 20.
+    ratings = counts.union(counts).union(spark.createDataFrame([(-1, 20, 1)], counts.schema))
+    assert rows(purchases.supported_ratings(ratings, counts, 2), "pdm_prod_type_id") == [(10,)] * 4
 
 
 def test_doubling_lines_changes_nothing(spark, rows):
