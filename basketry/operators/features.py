@@ -175,13 +175,20 @@ def reactivation_features(base: DataFrame, tables: RetailTables) -> DataFrame:
     )
 
 
-def scoring_features(listed: DataFrame, tables: RetailTables, as_of) -> DataFrame:
-    """Scoring table: listed customers with the latest features of their address."""
+def period_of(day) -> int:
+    """Fiscal period that holds a day."""
+    return day.year * 100 + day.month
+
+
+def scoring_features(listed: DataFrame, tables: RetailTables, as_of, known_only: bool = False) -> DataFrame:
+    """Scoring table: listed customers with the latest features of their address, of all in the tables or of
+    those known at as_of."""
+    last_period, last_day = (period_of(as_of), as_of) if known_only else (None, None)
     addresses = listed.select("address_id").filter(F.col("address_id").isNotNull()).distinct()
     dated = listed.select("customer_id").withColumn("_today", F.lit(as_of).cast("date"))
-    flags = life_stage_flags(dated, tables.life_stage_history, "_today").drop("_today")
+    flags = life_stage_flags(dated, tables.life_stage_history, "_today", last_day).drop("_today")
     return (
-        listed.join(latest_features(addresses, tables), "address_id", "left")
+        listed.join(latest_features(addresses, tables, last_period), "address_id", "left")
         .join(flags, "customer_id")
         .select(*listed.columns, *TRAINING_FEATURES, "MOVER")
         .distinct()

@@ -103,6 +103,8 @@ class ReactivationParams:
     keep_null_type: bool = True
     period_lag_months: int = 3
     sale_types: tuple[str, ...] = ("S", "M")
+    # Features and events after the day of the run don't count in scoring; False takes the tables as they are.
+    known_only: bool = True
     lapsed_days: int = 365
     at_risk_days: int = 183
 

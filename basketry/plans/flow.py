@@ -181,11 +181,14 @@ class Flow:
         addresses = self.scoring_customers.select("address_id").filter(
             F.col("address_id").isNotNull()
         ).distinct()
-        return features.latest_features(addresses, self.tables)
+        until = features.period_of(self.returns.as_of) if self.returns.known_only else None
+        return features.latest_features(addresses, self.tables, until)
 
     @cached_property
     def scoring_features(self) -> DataFrame:
         return self._keep(
-            features.scoring_features(self.scoring_customers, self.tables, self.returns.as_of),
+            features.scoring_features(
+                self.scoring_customers, self.tables, self.returns.as_of, self.returns.known_only
+            ),
             "scoring_features",
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,21 +39,27 @@ ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(
 DIGITS = {"base_transactions": 8}
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
+# A day in the middle of the tables, for runs that must not see what comes after it.
+PAST = dt.date(1999, 8, 1)
+PAST_STAGES = ("purchase_gaps", "at_risk_lapsed", "scoring_customers", "latest_features", "scoring_features")
 # The test events are hours apart, so sessions and carts get longer pauses than in a shop.
 SESSION_GAP = "8 hours"
 CART_WAIT = "240 hours"
 
 
-def flow(spark: SparkSession, folder: str, last: str = "") -> Flow:
-    """Stages over the folder; shared ones are written, except the one the query itself returns."""
+def flow(spark: SparkSession, folder: str, last: str = "", as_of: dt.date = AS_OF) -> Flow:
+    """Stages over the folder; shared ones are written, except the one the query itself returns.
+
+    A run for today takes the tables as they are, one for an earlier day what was known then.
+    """
     def keep(df: DataFrame, name: str) -> DataFrame:
         shared = name in SHARED_STAGES or (name == "base_transactions" and last in LINE_QUERIES)
         return staged(df, name) if shared and name != last else df
 
     return Flow(
         retail_tables(spark, folder),
-        PairParams(AS_OF),
-        ReactivationParams(AS_OF, earliest_previous=EARLIEST_PREVIOUS),
+        PairParams(as_of),
+        ReactivationParams(as_of, earliest_previous=EARLIEST_PREVIOUS, known_only=as_of < AS_OF),
         keep,
     )
 
@@ -331,9 +338,11 @@ def _event_query(name: str, stage) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _query(name: str, stage: Callable[[Flow], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _query(
+    name: str, stage: Callable[[Flow], DataFrame], as_of: dt.date = AS_OF
+) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(stage(flow(tuned(spark), folder, last=name)), DIGITS.get(name, 6))
+        return comparable(stage(flow(tuned(spark), folder, last=name, as_of=as_of)), DIGITS.get(name, 6))
 
     run.__name__ = name
     return run
@@ -341,5 +350,6 @@ def _query(name: str, stage: Callable[[Flow], DataFrame]) -> Callable[[SparkSess
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: _query(name, stage) for name, stage in STAGES.items()}
+    found.update({f"{name}_past": _query(name, STAGES[name], PAST) for name in PAST_STAGES})
     found.update({name: _event_query(name, stage) for name, stage in EVENT_STAGES.items()})
     return found
