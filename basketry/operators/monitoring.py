@@ -90,6 +90,31 @@ def pair_hits(recs: DataFrame, later_counts: DataFrame, customer_region: DataFra
     )
 
 
+def later_hits(recs: DataFrame, later_counts: DataFrame, customer_region: DataFrame) -> DataFrame:
+    """Precision and recall per region of recommended pairs against the pairs bought together in a later window.
+
+    A customer adds at most types-squared pairs, which are made distinct before they leave a task. Precision or
+    recall is null where nothing was recommended or bought together.
+    """
+    pair = ["region", "focus_pdm_prod_type_id", "recomm_pdm_prod_type_id"]
+    bought = later_counts.join(customer_region, "customer_id").select(
+        "region", "customer_id", F.col(TYPE).alias("focus_pdm_prod_type_id")
+    ).distinct()
+    other = bought.withColumnRenamed("focus_pdm_prod_type_id", "recomm_pdm_prod_type_id")
+    together = bought.join(other, ["region", "customer_id"]).filter(
+        F.col("focus_pdm_prod_type_id") != F.col("recomm_pdm_prod_type_id")
+    ).select(*pair).distinct()
+    judged = recs.select(*pair).distinct().withColumn("_shown", F.lit(1)).join(
+        together.withColumn("_bought", F.lit(1)), pair, "full"
+    )
+    counted = judged.groupBy("region").agg(
+        F.count("_shown").alias("n_pairs"), F.count("_bought").alias("n_bought"),
+        F.count(F.col("_shown") + F.col("_bought")).alias("n_hits"),
+    )
+    share = lambda total: F.when(F.col(total) > 0, F.col("n_hits") / F.col(total))
+    return counted.withColumn("precision", share("n_pairs")).withColumn("recall", share("n_bought"))
+
+
 def compare_groups(outcomes: DataFrame, group: str, outcome: str) -> DataFrame:
     """Rows, mean and standard error of an outcome per treatment group."""
     value = F.col(outcome).cast("double")

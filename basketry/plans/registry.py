@@ -41,6 +41,8 @@ LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
 # A day in the middle of the tables, for runs that must not see what comes after it.
 PAST = dt.date(1999, 8, 1)
+# Six months and a day later: the window of six months up to it begins the day after PAST.
+LATER = dt.date(2000, 2, 2)
 PAST_STAGES = ("purchase_gaps", "at_risk_lapsed", "scoring_customers", "latest_features", "scoring_features")
 # The test events are hours apart, so sessions and carts get longer pauses than in a shop.
 SESSION_GAP = "8 hours"
@@ -297,6 +299,13 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
 }
 
 
+def _later_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of the window up to PAST against purchases of the window after it."""
+    recs = staged(_recs(flow(spark, folder, as_of=PAST)), "recs")
+    later = flow(spark, folder, as_of=LATER)
+    return monitoring.later_hits(recs, later.customer_type_counts, later.region_of_customer)
+
+
 def _streamed(spark: SparkSession, folder: str) -> DataFrame:
     """Shop events written by a stream over the events file, read back."""
     cleaned = streams.shop_events(
@@ -351,5 +360,6 @@ def _query(
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: _query(name, stage) for name, stage in STAGES.items()}
     found.update({f"{name}_past": _query(name, STAGES[name], PAST) for name in PAST_STAGES})
+    found["pair_hits_later"] = _event_query("pair_hits_later", _later_hits)
     found.update({name: _event_query(name, stage) for name, stage in EVENT_STAGES.items()})
     return found
