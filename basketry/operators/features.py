@@ -87,16 +87,17 @@ def point_in_time_features(base: DataFrame, tables: RetailTables) -> DataFrame:
 def latest_rows(table: DataFrame, addresses: DataFrame, last_period: int | None = None) -> DataFrame:
     """Rows of the last fiscal period of each wanted address, up to last_period if given; equal periods are all kept.
 
-    The maximum is taken by aggregation before anything is joined, so an address with very many rows is
-    combined before the shuffle.
+    One scan of the table: the wanted addresses are picked first, and the rank is cut in each task before the
+    shuffle, so an address with very many rows sends on no more than its last period's.
     """
+    known = F.col("fiscal_period_id").isNotNull()
     if last_period is not None:
-        table = table.filter(F.col("fiscal_period_id") <= last_period)
-    last = table.groupBy("address_guid").agg(F.max("fiscal_period_id").alias("fiscal_period_id"))
-    mine = last.join(
+        known &= F.col("fiscal_period_id") <= last_period
+    mine = table.filter(known).join(
         addresses.select(F.col("address_id").alias("address_guid")), "address_guid", "left_semi"
     )
-    return table.join(mine, list(KEYS)).distinct()
+    newest = Window.partitionBy("address_guid").orderBy(F.desc("fiscal_period_id"))
+    return mine.withColumn("_rank", F.rank().over(newest)).filter("_rank = 1").drop("_rank").distinct()
 
 
 def latest_features(addresses: DataFrame, tables: RetailTables, last_period: int | None = None) -> DataFrame:

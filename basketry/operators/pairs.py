@@ -94,9 +94,14 @@ def sku_recommendations(
     """SKU pairs with the attributes of both SKUs, the rank of the type pair and the rank within it.
 
     A type pair can hold as many rows as its SKUs allow, so ranks come from one global numbering rather
-    than from a window per pair.
+    than from a window per pair. Only ids and counts are numbered; the texts are joined to the ranked pairs.
     """
-    def side(prefix: str, key: str) -> DataFrame:
+    def typed(prefix: str, key: str) -> DataFrame:
+        return skus.select(
+            F.col("item_sku_num").alias(key), F.col("pdm_prod_type_id").alias(f"{prefix}_pdm_prod_type_id")
+        ).distinct()
+
+    def described(prefix: str, key: str) -> DataFrame:
         return skus.select(
             F.col("item_sku_num").alias(key),
             F.col("pdm_prod_type_id").alias(f"{prefix}_pdm_prod_type_id"),
@@ -106,14 +111,16 @@ def sku_recommendations(
         )
 
     type_pair = [*by, "focus_pdm_prod_type_id", "recomm_pdm_prod_type_id"]
-    described = pairs.join(side("focus", "Focus"), "Focus", "left").join(
-        side("recomm", "Recomm"), "Recomm", "left"
+    narrow = pairs.select(*by, "Focus", "Recomm", "count").join(typed("focus", "Focus"), "Focus", "left").join(
+        typed("recomm", "Recomm"), "Recomm", "left"
     )
     ranked = consecutive_within(
-        described, type_pair, [F.desc("count"), F.col("Focus"), F.col("Recomm")], "sku_rank"
+        narrow, type_pair, [F.desc("count"), F.col("Focus"), F.col("Recomm")], "sku_rank"
     )
     ranks = reference.select(*type_pair, F.col("product_type_rank").alias("rn"))
     return (
         ranked.join(ranks, type_pair, "left")
+        .join(described("focus", "Focus"), ["Focus", "focus_pdm_prod_type_id"], "left")
+        .join(described("recomm", "Recomm"), ["Recomm", "recomm_pdm_prod_type_id"], "left")
         .withColumnsRenamed({"Focus": "focus_sku_num", "Recomm": "recomm_sku_num"})
     )

@@ -23,6 +23,8 @@ log = logging.getLogger(__name__)
 
 TYPE = "pdm_prod_type_id"
 SHARE_STEPS = 1_000_000
+# Tree nodes sent to a task at once: about 50 MB of models.
+GROUP_NODES = 400_000
 
 
 def sample_rows(df: DataFrame, share: float, seed: int) -> DataFrame:
@@ -158,6 +160,26 @@ def load_models(
         return dict(zip(wanted, pool.map(GBTClassificationModel.load, paths)))
 
 
+def model_groups(
+    spark: SparkSession, type_ids: Sequence[int], folder: str, max_depth: int, most_nodes: int = GROUP_NODES
+) -> list[list[int]]:
+    """The types with a saved model in groups to score together: as many as keep the trees that a task is sent
+    below most_nodes nodes, at least one."""
+    trees = {r[TYPE]: r["trees"] for r in read_manifest(spark, folder).select(TYPE, "trees").collect()}
+    groups, held = [], most_nodes
+    for type_id in type_ids:
+        nodes = trees.get(type_id, 0) * ((2 << max_depth) - 1)
+        if type_id not in trees:
+            log.warning("no model for product type %s: skipped", type_id)
+            continue
+        if held + nodes > most_nodes:
+            groups.append([])
+            held = 0
+        groups[-1].append(type_id)
+        held += nodes
+    return groups
+
+
 def propensity_scores(
     customers: DataFrame,
     models: Mapping[int, GBTClassificationModel],

@@ -9,12 +9,15 @@ from basketry.functions.expressions import month_window, unit_price
 from basketry.params import PairParams
 
 
-def known_buyers(xref: DataFrame, customers: DataFrame) -> DataFrame:
-    """Transaction and customer id, for customers that are not purged."""
+def known_buyers(lines: DataFrame, xref: DataFrame, customers: DataFrame) -> DataFrame:
+    """The lines with the id of their customer, for customers that are not purged.
+
+    Lines meet the cross-reference first: they are cut to a window already, so only the transactions they name
+    are looked up by customer.
+    """
+    owners = xref.filter(F.col("customer_id") > 0).withColumnRenamed("trans_id", "transaction_guid")
     current = customers.filter((F.col("customer_purge_ind") == "N") & (F.col("customer_id") > 0))
-    return xref.filter(F.col("customer_id") > 0).join(
-        current.select("customer_id"), "customer_id", "left_semi"
-    )
+    return lines.join(owners, "transaction_guid").join(current.select("customer_id"), "customer_id", "left_semi")
 
 
 def base_transactions(
@@ -39,9 +42,8 @@ def base_transactions(
         unit_price(F.col("gross_sales"), F.col("sold_units")).alias("sku_price"),
         "sold_units",
     )
-    buyers = known_buyers(xref, customers).withColumnRenamed("trans_id", "transaction_guid")
     return (
-        lines.join(buyers, "transaction_guid")
+        known_buyers(lines, xref, customers)
         .distinct()
         .join(skus, "item_sku_num")
         .select(

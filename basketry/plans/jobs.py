@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -88,14 +89,14 @@ class Jobs:
             seen = propensity.sample_rows(training, p.trees.train_share, p.trees.seed).withColumnRenamed(
                 TYPE, "_bought"
             )
-            scored = propensity.propensity_scores(seen, models, keep=["_bought"]).withColumn(
+            seen_scores = self._scored(seen, types, "seen_scores", keep=["_bought"]).withColumn(
                 "y", F.when(F.col("_bought") == F.col(TYPE), 1.0).otherwise(0.0)
             )
             self._write(
-                calibration.fit_calibration(scored, list(models), p.trees.parallelism), "calibration"
+                calibration.fit_calibration(seen_scores, list(models), p.trees.parallelism), "calibration"
             )
-        rows = feature_rows(training, FEATURES)
-        wide = self._wide(self._calibrated(propensity.propensity_scores(rows, models)), "training_vectors")
+        scores = self._scored(feature_rows(training, FEATURES), types, "training_scores")
+        wide = self._wide(self._calibrated(scores), "training_vectors")
         model = segments.fit_clusters(wide, p.clusters)
         model.write().overwrite().save(self._path("cluster_model"))
         return self._write(segments.assign_clusters(wide, model), "training_clusters")
@@ -105,23 +106,29 @@ class Jobs:
 
         Scores of finished types are kept from an interrupted run of the same day with the same models.
         """
-        f = self.flow
-        rows = feature_rows(f.scoring_features, FEATURES)
-        checkpoint = self._path(f"scores_{self.params.returns.as_of:%Y%m%d}_{self._models_id()}")
-        # At most one value per modelled type.
-        done = {r[TYPE] for r in finished_partitions(self.spark, checkpoint, TYPE).collect()}
-        models = propensity.load_models(
-            self.spark, [t for t in self._types() if t not in done], self._path("models")
-        )
-        if models:
-            checkpoint_scores(propensity.propensity_scores(rows, models), checkpoint)
-        elif not done:
-            raise ValueError("no model to score with: train first")
-        scores = self.spark.read.parquet(checkpoint).withColumn(TYPE, F.col(TYPE).cast("bigint"))
+        rows = feature_rows(self.flow.scoring_features, FEATURES)
+        scores = self._scored(rows, self._types(), f"scores_{self.params.returns.as_of:%Y%m%d}")
         wide = self._wide(self._calibrated(scores), "scoring_vectors")
         clusters = PipelineModel.load(self._path("cluster_model"))
         return self._write(segments.assign_clusters(wide, clusters), "clusters")
 
+    def _scored(self, rows: DataFrame, types: list[int], name: str, keep: Sequence[str] = ()) -> DataFrame:
+        """Scores of the rows by all models, written once, a group of types at a time.
+
+        Each group is committed before the next one starts, so an interrupted run goes on with the groups left.
+        The path names the models used: other models score anew.
+        """
+        checkpoint = self._path(f"{name}_{self._models_id()}")
+        done = finished_partitions(self.spark, checkpoint, TYPE)
+        folder, todo = self._path("models"), [t for t in types if t not in done]
+        groups = propensity.model_groups(self.spark, todo, folder, self.params.trees.max_depth)
+        if not groups and not done:
+            raise ValueError("no model to score with: train first")
+        for group in groups:
+            models = propensity.load_models(self.spark, group, folder)
+            checkpoint_scores(propensity.propensity_scores(rows, models, keep=keep), checkpoint)
+        return self.spark.read.parquet(checkpoint).withColumn(TYPE, F.col(TYPE).cast("bigint"))
+
     def _models_id(self) -> str:
         """Names the models in use: the run each modelled type was fitted in."""
         fitted = propensity.read_manifest(self.spark, self._path("models")).select(TYPE, "run").collect()

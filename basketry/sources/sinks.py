@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +38,14 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str) -> DataFra
     return df.sparkSession.table(table)
 
 
-def finished_partitions(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """Values of the partition column already written below the path; no rows if there is no table."""
-    try:
-        return spark.read.parquet(path).select(column).distinct()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], f"{column} bigint")
+def finished_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Values of the partition column already written below the path, in order, from the names of its folders."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(place)]
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{column}="))
 
 
 def checkpoint_scores(scores: DataFrame, path: str, column: str = "pdm_prod_type_id") -> DataFrame:
@@ -57,8 +56,8 @@ def checkpoint_scores(scores: DataFrame, path: str, column: str = "pdm_prod_type
     and splits those of large ones, so files come out at the session's advisory size.
     """
     spark = scores.sparkSession
-    done = finished_partitions(spark, path, column)
-    todo = scores.join(done.select(F.col(column).cast("bigint")), column, "left_anti")
+    done = finished_partitions(spark, path, column)  # at most one value per modelled type
+    todo = scores.filter(~F.col(column).isin(done)) if done else scores
     (
         todo.hint("rebalance", F.col(column))
         .write.mode("overwrite")

@@ -29,7 +29,8 @@ def test_checkpoint_writes_each_type_once(spark, rows):
     result = sinks.checkpoint_scores(second, path)
     assert rows(result) == [(1, 0.1, 10), (1, 0.3, 20), (2, 0.2, 10)]
     assert result.schema == first.schema
-    assert rows(sinks.finished_partitions(spark, path, "pdm_prod_type_id")) == [(10,), (20,)]
+    assert sinks.finished_partitions(spark, path, "pdm_prod_type_id") == [10, 20]
+    assert sinks.finished_partitions(spark, path + "-none", "pdm_prod_type_id") == []
 
 
 def test_reads(spark, rows):
