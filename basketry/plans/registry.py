@@ -321,8 +321,15 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _live(spark: SparkSession, folder: str) -> DataFrame:
-    recs = staged(_recs(flow(spark, folder)), "recs")
-    return streams.live_recommendations(_events(spark, folder), recs, LOOKUP["region"], LOOKUP["top_n"])
+    stages = flow(spark, folder)
+    recs = staged(_recs(stages), "recs")
+    return streams.live_recommendations(_events(spark, folder), recs, stages.region_of_customer, LOOKUP["top_n"])
+
+
+def _carts(spark: SparkSession, folder: str) -> DataFrame:
+    stages = flow(spark, folder)
+    recs = staged(_recs(stages), "recs")
+    return streams.cart_recommendations(_events(spark, folder), recs, stages.region_of_customer, LOOKUP["top_n"])
 
 
 EVENT_STAGES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -336,6 +343,7 @@ EVENT_STAGES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         streams.hourly_counts(_events(spark, folder))
     ),
     "live_recommendations": _live,
+    "cart_recommendations": _carts,
 }
 
 

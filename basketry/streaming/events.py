@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from basketry.operators import pairs
+from basketry.params import UNKNOWN_REGION
 
 # The kinds of shop events; others are dropped.
 KINDS = ("view", "click", "cart_add", "purchase")
@@ -113,13 +115,53 @@ def hourly_profile(counts: DataFrame) -> DataFrame:
     ).agg(F.sum("n").alias("n"))
 
 
-def live_recommendations(events: DataFrame, recs: DataFrame, region: str, top_n: int = 10) -> DataFrame:
-    """The best recommendations for the product type of each event, from the table of the last batch run."""
-    wanted = recs.filter((F.col("region") == region) & (F.col("rn") <= top_n)).select(
-        F.col("focus_pdm_prod_type_id").alias("product_id"), "recomm_pdm_prod_type_id", "rn"
+def live_recommendations(
+    events: DataFrame, recs: DataFrame, customer_region: DataFrame, top_n: int | None = 10,
+    default: str = UNKNOWN_REGION,
+) -> DataFrame:
+    """The best recommendations (None: all) for the product type of each event in the region of its customer, from the tables
+    (region, ...) and (customer_id, region) of the last batch run.
+
+    A customer in several regions gets the list of each, one in none that of the default region.
+    """
+    best = recs if top_n is None else recs.filter(F.col("rn") <= top_n)
+    wanted = best.select(
+        "region", F.col("focus_pdm_prod_type_id").alias("product_id"), "recomm_pdm_prod_type_id", "rn"
+    )
+    located = events.join(customer_region.select("customer_id", "region").distinct(), "customer_id", "left")
+    return (
+        located.withColumn("region", F.coalesce("region", F.lit(default)))
+        .join(wanted, ["region", "product_id"])
+        .select("event_id", "customer_id", "region", "product_id", "recomm_pdm_prod_type_id", "rn")
+    )
+
+
+def cart_recommendations(
+    events: DataFrame, recs: DataFrame, customer_region: DataFrame, top_n: int = 10, default: str = UNKNOWN_REGION
+) -> DataFrame:
+    """The top_n types for every customer with a cart: those best ranked for any type in it, without those that are
+    in it. A batch over the events of the time that a cart counts.
+
+    A type in the cart is what was put there and not bought since. Types are reduced to one row per customer and
+    type before they are ranked, so the ranks run over the types there are.
+    """
+    last = F.max_by("kind", F.struct("ts", "event_id"))
+    cart = (
+        events.filter(F.col("kind").isin("cart_add", "purchase"))
+        .groupBy("customer_id", "product_id").agg(last.alias("kind"))
+        .filter("kind = 'cart_add'").select("customer_id", "product_id")
     )
-    return events.join(wanted, "product_id").select(
-        "event_id", "customer_id", "product_id", "recomm_pdm_prod_type_id", "rn"
+    shown = live_recommendations(
+        cart.withColumn("event_id", F.lit(0)), recs, customer_region, top_n=None, default=default
+    )
+    best = shown.groupBy("customer_id", F.col("recomm_pdm_prod_type_id").alias("product_id")).agg(
+        F.min("rn").alias("best_rn"), F.count(F.lit(1)).alias("n_reasons")
+    )
+    order = Window.partitionBy("customer_id").orderBy("best_rn", F.desc("n_reasons"), "product_id")
+    return (
+        best.join(cart, ["customer_id", "product_id"], "left_anti")
+        .withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top_n)
+        .select("customer_id", F.col("product_id").alias("recomm_pdm_prod_type_id"), "best_rn", "n_reasons", "rank")
     )
 
 

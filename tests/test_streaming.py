@@ -71,10 +71,30 @@ def test_live_recommendations(spark, folder, source, rows):
     )
     batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
     live = streams.shop_events(shop_rows(stream(spark, source)), late="30 days")
-    shown, _ = finish(spark, streams.live_recommendations(live, recs, "South", 1))
-    expected = streams.live_recommendations(batch, recs, "South", 1)
+    # Customers of even ids live in the South, the others nowhere known.
+    regions = batch.filter("customer_id % 2 = 0").selectExpr("customer_id", "'South' AS region").distinct()
+    shown, _ = finish(spark, streams.live_recommendations(live, recs, regions, 1, default="West"))
+    expected = streams.live_recommendations(batch, recs, regions, 1, default="West")
     assert rows(shown) == rows(expected)
-    assert {r.recomm_pdm_prod_type_id for r in expected.collect()} == {50}
+    assert {(r.customer_id % 2, r.recomm_pdm_prod_type_id) for r in expected.collect()} == {(0, 50), (1, 52)}
+
+
+def test_cart_recommendations(spark, rows):
+    at = dt.datetime(2024, 1, 1)
+    done = [(1, 7, "cart_add", 5), (2, 7, "cart_add", 6), (3, 7, "view", 9), (4, 8, "cart_add", 5), (5, 8, "purchase", 5),
+            (6, 9, "purchase", 5), (7, 9, "cart_add", 5)]
+    events = spark.createDataFrame(
+        [(n, at + dt.timedelta(minutes=n), c, k, p) for n, c, k, p in done],
+        "event_id bigint, ts timestamp, customer_id bigint, kind string, product_id bigint",
+    )
+    recs = spark.createDataFrame(
+        [("South", 5, 6, 1), ("South", 5, 51, 2), ("South", 6, 51, 3), ("South", 6, 60, 2), ("West", 5, 70, 1)],
+        "region string, focus_pdm_prod_type_id bigint, recomm_pdm_prod_type_id bigint, rn bigint",
+    )
+    regions = spark.createDataFrame([(7, "South"), (8, "South")], "customer_id bigint, region string")
+    shown = streams.cart_recommendations(events, recs, regions, 2, default="West")
+    # Customer 7 has type 6 in the cart already; 8 bought theirs; 9 put it there again.
+    assert rows(shown) == [(7, 51, 2, 2, 1), (7, 60, 2, 1, 2), (9, 70, 1, 1, 1)]
 
 
 def test_session_pairs(spark, rows):
