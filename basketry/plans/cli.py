@@ -7,9 +7,9 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from basketry.params import PairParams, ReactivationParams, TreeParams
+from basketry.params import ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.jobs import JobParams, Jobs
-from basketry.sources.tables import RetailTables
+from basketry.sources.tables import RetailTables, load_table
 
 
 def _jobs(description: str, argv: list[str] | None) -> Jobs:
@@ -20,6 +20,13 @@ def _jobs(description: str, argv: list[str] | None) -> Jobs:
     parser.add_argument("--out", required=True, help="folder for stages, models and results")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--trees", type=int, default=TreeParams.trees)
+    parser.add_argument("--calibration", choices=("isotonic", "none"), default=TreeParams.calibration)
+    parser.add_argument("--clusters", type=int, default=ClusterParams.clusters)
+    parser.add_argument("--pair-months", type=int, default=PairParams.window_months, help="months of purchases to pair")
+    parser.add_argument("--min-support", type=int, default=FactorParams.min_support, help="customers a type must have")
+    parser.add_argument("--customers", help="table or path of the customers (customer_id) to score")
+    parser.add_argument("--types", type=lambda text: [int(t) for t in text.split(",")], help="type ids to model")
+    parser.add_argument("--skip-types", type=int, default=JobParams.skip_types, help="most frequent types left out")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(description).getOrCreate()
     tables = (
@@ -28,9 +35,15 @@ def _jobs(description: str, argv: list[str] | None) -> Jobs:
         else RetailTables.from_folder(spark, args.folder)
     )
     params = JobParams(
-        PairParams(args.as_of), ReactivationParams(args.as_of), trees=TreeParams(trees=args.trees)
+        PairParams(args.as_of, window_months=args.pair_months),
+        ReactivationParams(args.as_of),
+        factors=FactorParams(min_support=args.min_support),
+        trees=TreeParams(trees=args.trees, calibration=args.calibration),
+        clusters=ClusterParams(clusters=args.clusters),
+        skip_types=args.skip_types,
     )
-    return Jobs(spark, tables, args.out, params)
+    listed = load_table(spark, args.customers) if args.customers else None
+    return Jobs(spark, tables, args.out, params, listed, args.types)
 
 
 def train(argv: list[str] | None = None) -> None:

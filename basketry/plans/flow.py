@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,11 @@ from basketry.sources.tables import RetailTables
 
 
 class Flow:
-    """Lazy stages. `keep` may write a stage that several later ones read, and hand back the written table."""
+    """Lazy stages. `keep` may write a stage that several later ones read, and hand back the written table.
+
+    listed: customers (customer_id) to score instead of those at risk or lapsed. types: ids of the product types
+    to model instead of the most frequent ones.
+    """
 
     def __init__(
         self,
@@ -21,7 +26,10 @@ class Flow:
         pair_params: PairParams,
         reactivation_params: ReactivationParams,
         keep=lambda df, name: df,
+        listed: DataFrame | None = None,
+        types: Sequence[int] | None = None,
     ):
+        self._listed, self._types = listed, types
         self.tables = tables
         self.pairs = pair_params
         self.returns = reactivation_params
@@ -132,7 +140,9 @@ class Flow:
         )
 
     def shopping_types(self, skip: int = 1) -> list[int]:
-        """Ids of the types to model: at most `top_types`, without the first `skip` and null."""
+        """Ids of the types to model: those given, or at most `top_types`, without the first `skip` and null."""
+        if self._types is not None:
+            return sorted(set(self._types))
         rows = reactivation.top_reactivation_types(
             self.reactivated_purchases, self.returns.top_types, skip, self.returns.keep_null_type
         )
@@ -171,8 +181,9 @@ class Flow:
     @cached_property
     def scoring_customers(self) -> DataFrame:
         t = self.tables
+        listed = self.at_risk_lapsed if self._listed is None else self._listed
         rows = reactivation.scoring_customers(
-            t.sales_txn, t.customer_txn_xref, self.at_risk_lapsed, t.customer_curr, self.returns
+            t.sales_txn, t.customer_txn_xref, listed, t.customer_curr, self.returns
         )
         return self._keep(rows, "scoring_customers")
 

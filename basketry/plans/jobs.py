@@ -40,11 +40,14 @@ class Jobs:
     jobs of the same run share them.
     """
 
-    def __init__(self, spark: SparkSession, tables: RetailTables, out: str, params: JobParams):
+    def __init__(
+        self, spark: SparkSession, tables: RetailTables, out: str, params: JobParams,
+        listed: DataFrame | None = None, types: Sequence[int] | None = None,
+    ):
         self.spark = tuned(spark)
         self.out = out.rstrip("/")
         self.params = params
-        self.flow = Flow(tables, params.pairs, params.returns, self._write)
+        self.flow = Flow(tables, params.pairs, params.returns, self._write, listed, types)
 
     def _path(self, name: str) -> str:
         return f"{self.out}/{name}"
