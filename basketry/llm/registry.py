@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from basketry.llm import (
-    chats, decontaminate, langid, licenses, packing, pii, quality, rollups, simhash, urls,
+    chats, decontaminate, infill, langid, licenses, packing, pii, quality, rollups, simhash, urls, variants,
 )
 
-MODULES = (licenses, packing, decontaminate, simhash, quality, langid, rollups, urls, pii, chats)
+MODULES = (licenses, packing, decontaminate, simhash, quality, langid, rollups, urls, pii, chats, infill, variants)
 
 
 def queries() -> dict:
