@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from basketry.llm import (
-    chats, decontaminate, infill, langid, licenses, packing, pii, quality, rollups, simhash, urls, variants,
+    chats, decontaminate, infill, langid, licenses, packing, pii, quality, rollups, simhash, toxicity, urls,
+    variants,
 )
 
-MODULES = (licenses, packing, decontaminate, simhash, quality, langid, rollups, urls, pii, chats, infill, variants)
+MODULES = (licenses, packing, decontaminate, simhash, quality, langid, rollups, urls, pii, chats, infill, variants, toxicity)
 
 
 def queries() -> dict:
