@@ -7,18 +7,32 @@ while the values are gone. Forms:
 
 card: 13 to 19 digits that pass the Luhn check; the pseudonym passes it too. iban: letters and digits with valid
 check digits, kept valid. phone: +, country code and 8 to 14 digits; the country code stays. ssn: 3-2-4 digits.
-ip: four octets. date: year-month-day or day.month.year (also / between) of 1900 to 2099, permuted among those
-days. email: letters and digits of the local part and of the domain before its last label. secret: what follows
-a password, token or key name. Signs between the characters and upper case stay where they are.
-
-A value that is not valid is no personal data and stays, as do null and empty texts. Repeated rows change alike;
-other columns pass as they are. Spans are character offsets of the original text.
+ip: four octets. date: year-month-day or day.month.year (also / between) of 1900 to 2099, permuted among the days
+that are written with as many digits; month before day, which is read only where the day comes after the 12th, is
+permuted among such days, so it is read the same way again. email: letters and digits of the local part and of the
+domain before its last label. secret: what follows a password, token or key name. Signs between the characters and
+upper case stay where they are.
+
+A form may run on into digits or capital words that follow a value. So where a whole match fails its check, its
+parts between group borders are tried: card groups of the usual sizes, an IBAN of its country's length or any
+number of groups, a phone number without its last groups.
+
+The key is an argument; the queries take it from the setting spark.basketry.pseudonymKey or, without one, draw a
+key for the application, which then nobody can restore from.
+
+A value that is not valid is no personal data and stays, as do null and empty texts. Where forms overlap, the one
+listed first in FORMS wins, of one form the first in the text. Repeated rows change alike; other columns pass as
+they are, the counted column's name must be free; tables without rows give none. A text takes time in proportion
+to its length. Spans are character offsets of the original text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import secrets
+from bisect import bisect_left
+from collections.abc import Iterator
 from datetime import date, timedelta
 from functools import lru_cache
 
@@ -30,10 +44,23 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from basketry.llm.common import free_name, read_table
 
-KEY = "corpus-pseudonyms-1"
+KEY_SETTING = "spark.basketry.pseudonymKey"
 ROUNDS = 10
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FIRST_DAY, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
+# Letters and digits of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20,
+}
+# Digits of a card's groups, the last one cut where the number is shorter.
+CARD_GROUPS = ((4, 4, 4, 4), (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3), (4, 4, 4, 1), (4, 6, 5), (4, 6, 4))
 # The forms, the first that matches at a place wins.
 FORMS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9.-]{0,252}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"),
@@ -51,6 +78,7 @@ FORMS = (
 KINDS = tuple(name for name, _ in FORMS)
 # Every form begins at a digit, a plus, an opening bracket, an at sign or a word of a secret.
 _FORMS = [(name, re.compile(pattern)) for name, pattern in FORMS]
+_GROUP = re.compile(r"[A-Za-z0-9]+|.", re.S)
 _HINT = re.compile(r"[0-9@]|(?i:passw|pwd|secret|token|key)")
 
 
@@ -207,21 +235,19 @@ class Pseudonyms:
         sign = next(c for c in value if not c.isdigit())
         parts = value.split(sign)
         year_first = len(parts[0]) == 4
-        y, m, d = (int(x) for x in (parts if year_first else parts[::-1]))
-        if not 1 <= m <= 12 and not year_first:
-            m, d = d, m  # month before day
-            swapped = True
-        else:
-            swapped = False
+        y, m, d = (0, 1, 2) if year_first else (2, 1, 0)
+        if not year_first and int(parts[1]) > 12:
+            m, d = 0, 1  # month before day: the day is after the 12th
         try:
-            at = (date(y, m, d) - FIRST_DAY).days
+            at = (date(int(parts[y]), int(parts[m]), int(parts[d])) - FIRST_DAY).days
         except ValueError:
             return None
-        new = FIRST_DAY + timedelta(days=self.move(at, DAYS, "date"))
-        fields = [f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"]
-        if not year_first:
-            fields = fields[::-1] if not swapped else [fields[1], fields[2], fields[0]]
-        return sign.join(fields)
+        days = days_written(len(parts[m]), len(parts[d]), 13 if (m, d) == (0, 1) else 1)
+        tweak = "date" if len(days) == DAYS else f"date|{len(parts[m])}{len(parts[d])}{len(days)}"
+        new = FIRST_DAY + timedelta(days=days[self.move(bisect_left(days, at), len(days), tweak)])
+        for place, number in ((y, new.year), (m, new.month), (d, new.day)):
+            parts[place] = f"{number:0{len(parts[place])}d}"
+        return sign.join(parts)
 
     def _email(self, value: str) -> str:
         local, _, domain = value.rpartition("@")
@@ -232,18 +258,81 @@ class Pseudonyms:
         return self._letters(value, "secret") if to_number(value)[1] > 10**6 else None
 
 
+@lru_cache(maxsize=16)
+def days_written(month_digits: int, day_digits: int, first: int) -> tuple[int, ...]:
+    """The days, in order, whose month and day of month have at most so many digits, from the `first` of a month on."""
+    every = (FIRST_DAY + timedelta(days=i) for i in range(DAYS))
+    return tuple(
+        i for i, day in enumerate(every)
+        if first <= day.day < 10**day_digits and day.month < 10**month_digits
+    )
+
+
+def parts_of(kind: str, value: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what a match may hold if it is not valid as a whole, the likeliest first."""
+    groups = [m.span() for m in re.finditer(r"[A-Za-z0-9]+", value)]
+    if kind == "card":
+        sizes = [b - a for a, b in groups]
+        for form in sorted(CARD_GROUPS, key=sum, reverse=True):
+            for i in range(len(groups) - len(form) + 1):
+                if tuple(sizes[i : i + len(form)]) == form:
+                    yield groups[i][0], groups[i + len(form) - 1][1]
+        for a, b in groups:  # a number written in one
+            if b - a >= 13:
+                yield a, b
+    elif kind == "iban":
+        length, seen = IBAN_LENGTHS.get(value[:2]), 0
+        for at, c in enumerate(value, 1):
+            seen += c != " "
+            if seen == length and not value[at : at + 1].isalnum():
+                yield 0, at
+                return
+        if length is None:
+            yield from ((0, b) for _, b in reversed(groups[:-1]))
+    elif kind == "phone":
+        yield from ((0, b) for _, b in reversed(groups[:-1]))
+
+
+class Spans:
+    """Taken spans in order, without overlap."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.rows: list[tuple[int, int, str, str]] = []
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return not at or self.rows[at - 1][1] <= start
+
+    def add(self, found: list[tuple[int, int, str, str]]) -> None:
+        """Spans in order, none of which overlaps a taken one."""
+        if found:
+            self.rows = sorted(self.rows + found)
+            self.starts = [r[0] for r in self.rows]
+
+
 def find_values(text: str | None, pseudonyms: Pseudonyms) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the valid values, in order and without overlap; earlier forms win."""
     if not text or not _HINT.search(text):
         return []
-    taken: list[tuple[int, int, str, str]] = []
+    taken = Spans()
     for kind, pattern in _FORMS:
-        for m in pattern.finditer(text):
+        found, at = [], 0
+        while m := pattern.search(text, at):
             start, end = m.span("value") if kind == "secret" else m.span()
             new = pseudonyms.of(kind, text[start:end])
-            if new is not None and not any(start < b and a < end for a, b, _, _ in taken):
-                taken.append((start, end, kind, new))
-    return sorted(taken)
+            if new is None:
+                for a, b in parts_of(kind, text[start:end]):
+                    new = pseudonyms.of(kind, text[start + a : start + b])
+                    if new is not None:
+                        start, end = start + a, start + b
+                        break
+            if new is not None and taken.free(start, end):
+                found.append((start, end, kind, new))
+            # After a value the search goes on behind it; after none, behind the first group of the match.
+            at = end if new is not None else start + len(_GROUP.match(text, start)[0])
+        taken.add(found)
+    return taken.rows
 
 
 def replaced(text: str, values: list[tuple[int, int, str, str]]) -> str:
@@ -254,7 +343,18 @@ def replaced(text: str, values: list[tuple[int, int, str, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
+_DRAWN: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting, or one drawn for the application."""
+    application = spark.sparkContext.applicationId
+    if application not in _DRAWN:
+        _DRAWN[application] = secrets.token_hex(32)
+    return spark.conf.get(KEY_SETTING, None) or _DRAWN[application]
+
+
+def pseudonymise(docs: DataFrame, key: str, count: str | None = None) -> DataFrame:
     """The rows of docs with pseudonyms in their text; count: name of a column for the number replaced."""
     fields = docs.schema.fields + ([StructField(count, IntegerType())] if count else [])
     schema = StructType(fields)
@@ -277,7 +377,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
     return docs.mapInArrow(run, schema)
 
 
-def find_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
+def find_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """(doc_id, kind, start, end, pseudonym) of every value found in docs."""
     schema = StructType([
         StructField("doc_id", LongType()), StructField("kind", StringType()), StructField("start", IntegerType()),
@@ -302,7 +402,7 @@ def find_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    return pseudonymise(docs, count=free_name(docs, "n_replaced"))
+    return pseudonymise(docs, session_key(spark), count=free_name(docs, "n_replaced"))
 
 
 QUERIES = {"op9_pii": op9_pii}

@@ -137,7 +137,9 @@ def rotation_rows(words: DataFrame) -> DataFrame:
         if keys:
             yield out()
 
-    return words.select("word", "n", "number").mapInArrow(run, schema)
+    # A word becomes many rows, so words are dealt out over all tasks of a shuffle first.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return words.select("word", "n", "number").repartition(tasks, "number").mapInArrow(run, schema)
 
 
 def near_words(words: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
+from datetime import timedelta
 
 import numpy as np
 import pytest
@@ -305,17 +307,86 @@ def test_pseudonymise_rows(spark, odd, empty):
     text = ("Mail jane@x.org or +1 (734) 555-6564, card 4111111111111111, not 4111111111111112; ip 10.0.0.1 not "
             "999.1.1.1, born 1990-13-45 or 1990-12-05. password=fb014dfa643a529248 end")
     docs = spark.createDataFrame([(1, text), (2, "again jane@x.org"), (3, None), (4, "")], "doc_id int, text string")
-    got = {r["doc_id"]: r for r in pii.pseudonymise(docs, count="n").collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs, "k", count="n").collect()}
     assert [got[i]["n"] for i in (1, 2, 3, 4)] == [6, 1, 0, 0]
     for value in ("jane@x.org", "555-6564", "4111111111111111", "10.0.0.1", "1990-12-05", "fb014dfa643a529248"):
         assert value not in got[1]["text"]
     for value in ("4111111111111112", "999.1.1.1", "1990-13-45", "password="):
         assert value in got[1]["text"]
     assert got[2]["text"].split()[1] in got[1]["text"] and got[3]["text"] is None and got[4]["text"] == ""
-    found = pii.find_personal_data(docs).where("doc_id = 1").collect()
+    found = pii.find_personal_data(docs, "k").where("doc_id = 1").collect()
     assert all(text[r["start"]:r["end"]] not in got[1]["text"] for r in found) and len(found) == 6
-    same = pii.pseudonymise(odd)
-    assert same.columns == odd.columns and same.count() == 10 and pii.pseudonymise(empty).count() == 0
+    same = pii.pseudonymise(odd, "k")
+    assert same.columns == odd.columns and same.count() == 10 and pii.pseudonymise(empty, "k").count() == 0
+
+
+def test_values_before_digit_groups_and_capital_words():
+    rng = random.Random(8)
+    pseudonyms = pii.Pseudonyms("k")
+    tails = ["", " 123", " 2024", " PAID", " 12", "-77", " USD 100", ", 5", " 4111"]
+    forms = [(k, v) for k, v in VALUES if k != "secret"] + [
+        ("card", "4111 1111 1111 1111"), ("card", "3782 822463 10005"), ("iban", "ES91 2100 0418 4502 0005 1332"),
+        ("iban", "ES9121000418450200051332"), ("iban", "NO93 8601 1117 947"), ("phone", "+44 20 7946 0958"),
+    ]
+    for kind, value in forms:
+        for tail in tails:
+            if tail == "-77" and kind in ("ssn", "date"):  # another form of number
+                continue
+            for head in ("", "Pay ", "No 7: ", "call 55 " if kind == "card" else "to "):
+                text = f"{head}{value}{tail} {rng.choice(['end', '', 'A1'])}"
+                out = pii.replaced(text, pii.find_values(text, pseudonyms))
+                assert value not in out, text
+
+
+def test_cards_against_a_plain_matcher():
+    rng = random.Random(3)
+    pseudonyms = pii.Pseudonyms("k")
+    for _ in range(1500):
+        groups = ["".join(rng.choice("0123456789") for _ in range(rng.choice((4, 4, 4, 4, 3, 6, 5)))) for _ in range(9)]
+        text = " ".join(groups)
+        left = [text[a:b] for a, b, *_ in pii.find_values(text, pseudonyms)]
+        taken = " ".join(left).split()
+        for i in range(len(groups)):
+            for form in pii.CARD_GROUPS:
+                some = groups[i : i + len(form)]
+                if tuple(map(len, some)) == form and not pii.luhn("".join(some)):
+                    assert set(some) & set(taken), (text, some)
+
+
+@pytest.mark.parametrize("sign", "-/.")
+def test_dates_of_all_years_are_permuted_in_their_form(sign):
+    forward, back = pii.Pseudonyms("k"), pii.Pseudonyms("k", forward=False)
+    days = [pii.FIRST_DAY + timedelta(days=i) for i in range(0, pii.DAYS, 7)]
+    written = set()
+    for d in days:
+        for month in {f"{d.month:02d}", str(d.month)}:
+            for day in {f"{d.day:02d}", str(d.day)}:
+                written |= {sign.join(x) for x in ((str(d.year), month, day), (day, month, str(d.year)), (month, day, str(d.year)))}
+    images = {v: forward._date(v) for v in written}
+    images = {v: n for v, n in images.items() if n is not None}
+    assert len(set(images.values())) == len(images) > len(days) * 3
+    for v, n in images.items():
+        assert back._date(n) == v and [len(x) for x in v.split(sign)] == [len(x) for x in n.split(sign)]
+    assert forward._date("2001-03-05").split("-") == forward._date("05.03.2001").split(".")[::-1]
+
+
+def test_many_values_take_linear_time():
+    pseudonyms = pii.Pseudonyms("k")
+    took = []
+    for n in (4_000, 16_000):
+        text = " ".join(f"user{i}@mail.example.com 10.0.{i % 250}.{i % 199} 1 2 3 4 5 6 7 8" for i in range(n))
+        start = time.process_time()
+        assert len(pii.find_values(text, pseudonyms)) >= 2 * n
+        took.append(time.process_time() - start)
+    assert took[1] < 9 * took[0]
+
+
+def test_the_key_is_a_setting_or_drawn(spark):
+    drawn = pii.session_key(spark)
+    assert len(drawn) == 64 and pii.session_key(spark) == drawn
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    assert pii.session_key(spark) == "mine"
+    spark.conf.unset(pii.KEY_SETTING)
 
 
 def test_license_spans(spark, odd, empty):
