@@ -1,8 +1,9 @@
 """Language identification by segmentation-marginalised unigrams.
 
-A fixed public vocabulary gives the pieces; each language has a probability for every piece. The probability of
-a word is the sum over all its segmentations into pieces, by a forward pass; that of a text is the product over
-its letter runs, as no piece crosses one. The piece probabilities are fitted by expectation-maximisation over
+A fixed public vocabulary gives the pieces, all that are letters only, of any length; each language has a
+probability for every piece. The probability of a word is the sum over all its segmentations into pieces, by a
+forward pass over the pieces' trie that is kept in a double's range however long the word is; that of a text is
+the product over its letter runs, as no piece crosses one. The piece probabilities are fitted by expectation-maximisation over
 word counts of a sample of labelled texts, about TRAIN_DOCS of each language, chosen by a hash of the row's id.
 
 Letters that no piece holds cost the same in every language. A text that is null or has no letter is `und` with
@@ -31,16 +32,16 @@ from basketry.llm.tokens import Recent, tokenizer_path
 VOCABULARY = "piece_bpe_32k.model"
 TRAIN_DOCS, ROUNDS, UNKNOWN = 400, 3, "und"
 _WORD = re.compile(r"[^\W\d_]+")
-_FLOOR, _SMOOTH, _LONGEST, _TINY = 1e-9, 0.05, 8, 1e-150
+_FLOOR, _SMOOTH, _TINY = 1e-9, 0.05, 1e-100
 
 
-def letter_pieces(model_file: str, longest: int = _LONGEST) -> list[str]:
+def letter_pieces(model_file: str) -> list[str]:
     """Lower-case pieces of the vocabulary that are letters only, in order."""
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=model_file)
     bare = {model.id_to_piece(i).lstrip("▁").lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in bare if 0 < len(p) <= longest and p.isalpha())
+    return sorted(p for p in bare if p.isalpha())
 
 
 def words_of(text: str | None) -> list[str]:
@@ -55,74 +56,92 @@ class PieceModel:
     def __init__(self, languages: list[str], table: dict[str, tuple[float, ...]]):
         self.languages, self.table = languages, table
         self.floor = (_FLOOR,) * len(languages)
-        self.many = range(len(languages))
-
-    def edges(self, word: str) -> Iterator[list[tuple[int, str, tuple[float, ...]]]]:
-        """For every end position, the pieces that end there: (start, piece, probabilities)."""
-        table = self.table
-        for end in range(1, len(word) + 1):
-            found = []
-            for start in range(max(0, end - _LONGEST), end):
-                p = table.get(word[start:end])
-                if p is not None:
-                    found.append((start, word[start:end], p))
-            if not found or found[-1][0] != end - 1:
-                found.append((end - 1, "", self.floor))
-            yield found
+        self._plant()
+
+    def _plant(self) -> None:
+        # A node of the trie: the nodes behind each letter, and the probabilities of the piece that ends here or None.
+        self.trie: list = [{}, None]
+        for piece, p in self.table.items():
+            node = self.trie
+            for letter in piece:
+                node = node[0].setdefault(letter, [{}, None])
+            node[1] = p
+
+    def __getstate__(self):
+        return self.languages, self.table
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def edges(self, word: str, start: int) -> list[tuple[int, tuple[float, ...]]]:
+        """(end, probabilities) of the pieces that begin at a place of the word. A letter that is no piece of its
+        own is one, at the same small probability in every language."""
+        found, node = [], self.trie
+        for end in range(start + 1, len(word) + 1):
+            node = node[0].get(word[end - 1])
+            if node is None:
+                break
+            if node[1] is not None:
+                found.append((end, node[1]))
+        if not found or found[0][0] != start + 1:
+            found.insert(0, (start + 1, self.floor))
+        return found
 
     def forward(self, word: str) -> tuple[float, ...]:
-        """Log-probability of the word in each language, over all segmentations."""
-        many, alphas = self.many, [[1.0] * len(self.languages)]
-        for found in self.edges(word):
-            here = [0.0 for _ in many]
-            for start, _, p in found:
-                before = alphas[start]
-                for k in many:
-                    here[k] += before[k] * p[k]
-            alphas.append(here)
-        return tuple(math.log(x) for x in alphas[-1])
-
-    def word_scores(self, word: str) -> tuple[float, ...]:
-        """forward() for words of any length."""
-        return self.forward(word) if len(word) <= 24 else self.forward_scaled(word)
-
-    def forward_scaled(self, word: str) -> tuple[float, ...]:
-        """forward() that keeps the last sums only and scales them before they leave the range of a double."""
-        many = self.many
-        logs = [0.0 for _ in many]
-        recent = [[1.0 for _ in many]]  # alphas of the last _LONGEST positions
-        for end, found in enumerate(self.edges(word), 1):
-            here = [0.0 for _ in many]
-            for start, _, p in found:
-                before = recent[len(recent) - (end - start)]
-                for k in many:
-                    here[k] += before[k] * p[k]
-            recent = (recent + [here])[-_LONGEST:]
-            for k in many:
-                if here[k] < _TINY:
-                    by = max(x[k] for x in recent)
-                    for x in recent:
-                        x[k] /= by
-                    logs[k] += math.log(by)
-        return tuple(logs[k] + math.log(recent[-1][k]) for k in many)
+        """Log-probability of the word in each language, over all segmentations.
+
+        Only the sums of places ahead are held; they are scaled up before the next one leaves a double's range.
+        """
+        trie, floor, length = self.trie, self.floor, len(word)
+        logs = [0.0] * len(floor)
+        ahead = {0: [1.0] * len(floor)}
+        for start in range(length):
+            here = ahead.pop(start)
+            if min(here) < _TINY:
+                logs = [x + math.log(y) for x, y in zip(logs, here, strict=True)]
+                for end, waiting in ahead.items():
+                    ahead[end] = [x / y for x, y in zip(waiting, here, strict=True)]
+                here = [1.0] * len(floor)
+            node, end, alone = trie, start, floor
+            while end < length:
+                node = node[0].get(word[end])
+                if node is None:
+                    break
+                end += 1
+                p = node[1]
+                if p is not None:
+                    if end == start + 1:
+                        alone = p
+                    elif end in ahead:
+                        ahead[end] = [x + y * q for x, y, q in zip(ahead[end], here, p)]
+                    else:
+                        ahead[end] = [y * q for y, q in zip(here, p)]
+            # One letter: a piece, or a sign without one.
+            if start + 1 in ahead:
+                ahead[start + 1] = [x + y * q for x, y, q in zip(ahead[start + 1], here, alone)]
+            else:
+                ahead[start + 1] = [y * q for y, q in zip(here, alone)]
+        return tuple(x + math.log(y) for x, y in zip(logs, ahead[length], strict=True))
 
     def expected(self, word: str, language: int, times: float, into: Counter) -> None:
-        """Add the expected uses of pieces in the word, by forward and backward sums."""
-        ends = list(self.edges(word))
-        n = len(ends)
+        """Add the expected uses of pieces in the word, by forward and backward sums of logarithms."""
+        n = len(word)
+        edges = [[(end, p[language]) for end, p in self.edges(word, start)] for start in range(n)]
+        back = [0.0] * (n + 1)
+        for start in range(n - 1, -1, -1):
+            most = max(back[end] for end, _ in edges[start])
+            back[start] = most + math.log(sum(math.exp(back[end] - most) * p for end, p in edges[start]))
+        # ahead[i]: the share of the segmentations' probability that has a border at place i.
         ahead = [1.0] + [0.0] * n
-        for end, found in enumerate(ends, 1):
-            ahead[end] = sum(ahead[s] * p[language] for s, _, p in found)
-        back = [0.0] * n + [1.0]
-        for end in range(n, 0, -1):
-            for s, _, p in ends[end - 1]:
-                back[s] += back[end] * p[language]
-        if not ahead[n]:  # a run of letters too long for a double
-            return
-        for end, found in enumerate(ends, 1):
-            for s, piece, p in found:
-                if piece:
-                    into[piece] += times * ahead[s] * p[language] * back[end] / ahead[n]
+        for start in range(n):
+            if not ahead[start]:
+                continue
+            for end, p in edges[start]:
+                share = ahead[start] * p * math.exp(back[end] - back[start])
+                ahead[end] += share
+                piece = word[start:end]
+                if piece in self.table:
+                    into[piece] += times * share
 
 
 def word_counts(samples: DataFrame, languages: list[str]) -> DataFrame:
@@ -217,7 +236,7 @@ class TextScorer:
         self.model, self.rows = model, Recent(self._row, kept)
 
     def _row(self, word: str) -> bytes:
-        return np.array(self.model.word_scores(word)).tobytes()
+        return np.array(self.model.forward(word)).tobytes()
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)

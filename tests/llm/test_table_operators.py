@@ -3,13 +3,18 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from basketry.functions.lineage import fresh_path
 from basketry.llm import chats, quality, rollups, urls
 from basketry.llm.common import free_name
+from basketry.llm.tokens import tokenizer_path
 
 
 def base(text):
@@ -136,13 +141,33 @@ def test_rollups_by_deltas(spark):
     def shown(r):
         return {(x["source"], x["lang"], x["tokenizer"]): [x["n_docs"], x["n_tokens"]] for x in r.totals().collect()}
     assert shown(rollup) == dict(want)
-    assert shown(rollup.compact(fresh_path(spark, "compacted"))) == dict(want)
+    small = rollup.compact(fresh_path(spark, "compacted"))
+    assert shown(small) == dict(want)
+    again = small.compact(fresh_path(spark, "compacted"))
+    for b, changes in enumerate(log):
+        assert not small.commit(f"b{b}", changes) and not again.commit(f"b{b}", changes)
+    assert shown(small) == shown(again) == dict(want)
+    more = log[0].where("op = 'insert'").limit(1).withColumn("times", F.lit(3))
+    assert again.commit("more", more) and sum(n for n, _ in shown(again).values()) == sum(n for n, _ in want.values()) + 3
+    with pytest.raises(ValueError, match="holds a rollup"):
+        rollup.compact(small.path)
     assert rollup.commit("empty", log[0].where("false")) and shown(rollup) == dict(want)
     with pytest.raises(Exception, match="unknown change"):
         rollup.commit("bad", log[0].limit(1).selectExpr("'move' as op", *log[0].columns[1:]))
     assert not rollup.committed("bad")
     with pytest.raises(ValueError, match="batch id"):
         rollup.commit("../x", log[0])
+    # A batch without _SUCCESS was interrupted: it counts nowhere and is written anew.
+    place = Path(rollup._place("b2").removeprefix("file:"))
+    (place / "_SUCCESS").unlink()
+    assert shown(rollup) != dict(want) and rollup.commit("b2", log[2]) and shown(rollup) == dict(want)
+
+
+def test_rollup_in_an_empty_folder(spark, tmp_path):
+    assert rollups.Rollup(spark, str(tmp_path)).totals().count() == 0
+    assert not rollups.Rollup(spark, str(tmp_path / "none")).committed("x")
+    small = rollups.Rollup(spark, str(tmp_path)).compact(str(tmp_path / "small"))
+    assert small.totals().count() == 0 and small.totals().columns == ["source", "lang", "tokenizer", "n_docs", "n_tokens"]
 
 
 def test_rollup_query_counts_tokens(spark, folder):
@@ -151,9 +176,32 @@ def test_rollup_query_counts_tokens(spark, folder):
     first = {}
     for r in sorted(docs, key=lambda r: r["doc_id"]):
         first.setdefault(r["text"] or "", r)
-    want = Counter((r["source"], r["lang"]) for r in first.values())
-    assert {(r["source"], r["lang"]): r["n_docs"] for r in got} == dict(want)
-    assert {r["tokenizer"] for r in got} == {rollups.VERSIONS[1]}
+    model = SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    want = defaultdict(lambda: [0, 0])
+    for r in first.values():
+        want[r["source"], r["lang"]][0] += 1
+        want[r["source"], r["lang"]][1] += len(model.encode(r["text"] or ""))
+    assert {(r["source"], r["lang"]): [r["n_docs"], r["n_tokens"]] for r in got} == dict(want)
+    assert {r["tokenizer"] for r in got} == {"piece_bpe_32k"}
+
+
+def test_token_counts_are_the_tokenizers(spark):
+    texts = ["", None, "one two", "Ünïcode 北京 🙂", " a  b \n c ", "x" * 30_000]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id int, text string, first int")
+    files = {"a": tokenizer_path("word_bpe_49k.json"), "b": tokenizer_path("piece_bpe_32k.model")}
+    plain, model = Tokenizer.from_file(files["a"]), SentencePieceProcessor(model_file=files["b"])
+    for r in rollups.with_token_counts(docs, files).collect():
+        text = r["text"] or ""
+        assert (r["a"], r["b"]) == (len(plain.encode(text, add_special_tokens=False).ids), len(model.encode(text)))
+
+
+def test_copies_by_source(spark):
+    rows = [(3, "x", "s", "en", 5, 6), (1, "x", None, "en", 5, 6), (1, "x", None, "en", 5, 6), (None, "x", "s", "en", 5, 6),
+            (None, "y", "s", None, 1, 2), (None, "y", "t", None, 1, 2), (9, "z", "s", "en", 0, 0)]
+    counted = spark.createDataFrame(rows, "doc_id int, digest string, source string, lang string, first int, second int")
+    got = {tuple(r) for r in rollups.copies_by_source(counted).collect()}
+    assert got == {("s", "en", 5, 6, 2, 2), (None, "en", 5, 6, 2, 1), ("s", None, 1, 2, 1, 0), ("t", None, 1, 2, 1, 1),
+                   ("s", "en", 0, 0, 1, 0)}
 
 
 def brute_chats(rows):

@@ -4,7 +4,7 @@ import random
 import re
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import timedelta
 
 import numpy as np
@@ -252,9 +252,54 @@ def test_forward_sums_all_segmentations():
 
     for word in ("a", "ab", "abab", "abaabba"):
         assert np.allclose(np.exp(model.forward(word)), [brute(word, 0), brute(word, 1)])
-    word = "abaab" * 4
-    assert np.allclose(model.forward(word), model.forward_scaled(word))
-    assert all(np.isfinite(model.forward_scaled("abz" * 2000)))
+    assert all(np.isfinite(model.forward("abz" * 20_000)))
+    # Far below a double's range: the log-probability of a word and its double, between letters no piece joins.
+    long, twice = (np.array(model.forward("z".join(["abaabba" * 40] * n))) for n in (30, 60))
+    assert np.allclose(twice, 2 * long + np.log(langid._FLOOR), rtol=1e-9) and long.max() < -3000
+
+
+def test_forward_over_long_pieces_of_the_vocabulary():
+    pieces = langid.letter_pieces(tokenizer_path(langid.VOCABULARY))
+    assert max(map(len, pieces)) == 16
+    rng = random.Random(1)
+    table = {p: (rng.random(), rng.random(), rng.random()) for p in pieces}
+    model = langid.PieceModel(["x", "y", "z"], table)
+
+    def brute(word, k):
+        sums = [1.0]
+        for end in range(1, len(word) + 1):
+            sums.append(sum(sums[s] * table[word[s:end]][k] for s in range(end) if word[s:end] in table)
+                        + (word[end - 1] not in table) * sums[end - 1] * langid._FLOOR)
+        return sums[-1]
+
+    for piece in [p for p in pieces if len(p) >= 9][::40]:
+        for word in (piece, piece + "s", "un" + piece, piece + "Ω" + piece):
+            assert np.allclose(np.exp(model.forward(word)), [brute(word, k) for k in range(3)])
+
+
+def test_expected_uses_equal_enumeration():
+    table = {"a": (0.2, 0.1), "b": (0.1, 0.3), "ab": (0.05, 0.02), "aba": (0.01, 0.2)}
+    model = langid.PieceModel(["x", "y"], table)
+
+    def cuts(word):
+        if not word:
+            yield ()
+        for n in range(1, len(word) + 1):
+            if word[:n] in table:
+                yield from ((word[:n], *rest) for rest in cuts(word[n:]))
+
+    for word in ("ab", "abaabba"):
+        want = defaultdict(float)
+        every = [(c, np.prod([table[p][1] for p in c])) for c in cuts(word)]
+        for c, p in every:
+            for piece in c:
+                want[piece] += 3 * p / sum(q for _, q in every)
+        got = Counter()
+        model.expected(word, 1, 3, got)
+        assert got.keys() == want.keys() and all(np.isclose(got[k], want[k]) for k in got)
+    far = Counter()
+    model.expected("aba" * 3000, 0, 1, far)
+    assert np.isclose(sum(n * len(piece) for piece, n in far.items()), 9000)
 
 
 def test_language_of_held_out_rows(spark, folder):
