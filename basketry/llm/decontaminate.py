@@ -6,16 +6,22 @@ of words of the document is within floor((1 - similarity) * item words) edits of
 For every item length, windows of that length slide over every position of every document. A window is embedded
 by CGK: a walk that writes the current word and moves on or stays by a random bit of (step, word), so that few
 edits become few differing places. Repetitions sample places of embeddings with walks of their own; a window
-and an item that agree in all sampled places of a repetition are a candidate. The number of repetitions comes
-from the recall wanted: it is measured, on the items themselves with the largest allowed number of random edits,
-how often one repetition agrees. Candidates are then verified by exact edit distance against the words around
-the window, which also gives the span.
+and an item that agree in all sampled places of a repetition are a candidate. The number of repetitions has no
+bound and comes from the recall wanted: for every item length it is measured, on the items themselves with the
+largest allowed number of random edits, how often a repetition agrees, item by item, so that those with poor
+agreement count as what they miss. Long items agree less often and get fewer places instead of ever more
+repetitions; where even one place does not reach the recall, every window is a candidate. Neighbouring candidates
+are verified together by exact edit distance over the words around them, which also gives the span; the words
+left and right of a leak are searched again.
 
 Windows without enough of the items' word pairs cannot be within the edits allowed and are not embedded: each
-edit breaks at most two of the item's neighbouring pairs. Items are searched in blocks of a fixed number.
+edit breaks at most two of the item's neighbouring pairs. Where edits may break all pairs, every window is
+embedded. Items are indexed once, in blocks of a fixed number.
 
 Null and empty texts have no leaks; an item without words, or null, leaks nowhere. Repeated rows are searched
-each; repeated items are reported by each item_id. An empty table on either side gives no leaks.
+each; repeated items are reported by each item_id. Of leaks that overlap, the one with the fewest edits is
+reported, of equal ones the first. An empty table on either side gives no leaks. Whole texts are searched,
+however long; find_leaks ignores other columns of both tables, drop_leaked returns those of docs as they are.
 """
 
 from __future__ import annotations
@@ -33,7 +39,8 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 from basketry.llm.common import read_table
 
 SIMILARITY, RECALL, SAMPLES, BLOCK = 0.8, 0.98, 3, 5000
-_MOST_REPEATS, _SEED, _TRIALS = 64, 20240229, 40
+# Repetitions from which fewer places are tried; trials and repetitions of the measurement.
+_DEAR, _SEED, _TRIALS, _PROBES = 24, 20240229, 100, 192
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,48 +86,72 @@ def edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
     return np.array((out + [-int(rng.integers(1, 1 << 40)) for _ in range(size)])[:size], np.int64)
 
 
+def repeats_needed(agree: np.ndarray, recall: float) -> int | None:
+    """Repetitions after which the trials (rows) have agreed once with probability `recall`; None: too many to
+    tell from these trials."""
+    miss = 1 - agree.mean(1)
+    if (miss == 1).mean() > 1 - recall:
+        return None
+    low, high = 0, 1
+    while (miss**high).mean() > 1 - recall:
+        low, high = high, 2 * high
+    while high - low > 1:
+        half = (low + high) // 2
+        low, high = (half, high) if (miss**half).mean() > 1 - recall else (low, half)
+    return high
+
+
 class LengthIndex:
-    """Items of one length: the tables of all repetitions."""
+    """Items of one length: the tables of all repetitions, `repeats` of them; none: every window is a candidate."""
 
     def __init__(self, length: int, items: list[tuple[int, np.ndarray]], edits: int, recall: float, samples: int):
         self.length, self.edits = length, edits
         # Pairs of the item that an occurrence keeps in the window at its start: every edit breaks two at most,
         # and an insertion may push one more out.
-        self.least = max(1, length - 1 - 3 * edits)
+        self.least = length - 1 - 3 * edits
         self.numbers = np.array([i for i, _ in items])
         matrix = np.stack([w for _, w in items])
-        rng = np.random.default_rng(_SEED + length)
-        steps = 3 * length
-        # Late steps of a walk differ more after an early edit; places are drawn from the first two thirds.
-        self.places = np.sort(rng.integers(0, max(1, 2 * length), (_MOST_REPEATS, samples)), axis=1)
-        self.factors = rng.integers(1, 1 << 62, (_MOST_REPEATS, steps)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        self.repeats = _MOST_REPEATS if edits else 1
+        self.repeats: int | None = 1
+        self._draw(samples, 1)
         if edits:
+            rng = np.random.default_rng(_SEED + length)
             some = matrix[rng.integers(0, len(matrix), _TRIALS)]
             changed = np.stack([edited(w, edits, rng) for w in some])
-            agree = (self.keys(some) == self.keys(changed)).mean()
-            if agree > 0:
-                needed = math.log(1 - recall) / math.log(1 - min(agree, 1 - 1e-9))
-                self.repeats = max(1, min(_MOST_REPEATS, math.ceil(needed)))
-        self.places, self.factors = self.places[:self.repeats], self.factors[:self.repeats]
+            for places in range(samples, 0, -1):
+                self._draw(places, _PROBES)
+                self.repeats = repeats_needed((self.keys(some) == self.keys(changed)).T, recall)
+                if self.repeats is not None and self.repeats <= _DEAR:
+                    break
+            if self.repeats is None:
+                return
+            self._draw(places, self.repeats)
         keys = self.keys(matrix)
         self.order = np.argsort(keys, axis=1)
         self.sorted = np.take_along_axis(keys, self.order, 1)
 
+    def _draw(self, samples: int, repeats: int) -> None:
+        """Places and random bits of so many repetitions, the same ones for fewer or more."""
+        rng = np.random.default_rng((_SEED, self.length, samples))
+        # Late steps of a walk differ more after an early edit; places are drawn from the first two thirds.
+        drawn = [(rng.integers(0, 2 * self.length, samples), rng.integers(1, 1 << 62, 3 * self.length)) for _ in range(repeats)]
+        self.places = np.sort(np.stack([p for p, _ in drawn]), axis=1)
+        self.factors = np.stack([f for _, f in drawn]).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
     def keys(self, words: np.ndarray) -> np.ndarray:
         return walk_samples(words, self.places, self.factors)
 
-    def candidates(self, windows: np.ndarray) -> dict[tuple[int, int], int]:
-        """(window, item) -> repetitions in which they agree."""
-        found: dict[tuple[int, int], int] = defaultdict(int)
+    def candidates(self, windows: np.ndarray) -> list[tuple[int, int]]:
+        """(window, item) of the windows and items that agree in a repetition, in order."""
+        if self.repeats is None:
+            return [(w, int(i)) for w in range(len(windows)) for i in np.sort(self.numbers)]
+        found: set[tuple[int, int]] = set()
         keys = self.keys(windows)
         for r in range(self.repeats):
             low = np.searchsorted(self.sorted[r], keys[r], "left")
             high = np.searchsorted(self.sorted[r], keys[r], "right")
-            for w in np.flatnonzero(high > low):
-                for x in range(low[w], high[w]):
-                    found[int(w), int(self.numbers[self.order[r, x]])] += 1
-        return found
+            for w in np.flatnonzero(high > low).tolist():
+                found.update((w, i) for i in self.numbers[self.order[r, low[w]:high[w]]].tolist())
+        return sorted(found)
 
 
 def best_span(item: np.ndarray, words: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -228,22 +259,27 @@ class Searcher:
             windows.append(np.lib.stride_tricks.sliding_window_view(filled, length)[starts])
             owner += [(t, s) for s in starts.tolist()]
         tried = defaultdict(list)
-        for (w, item), times in index.candidates(np.concatenate(windows)).items():
+        for w, item in index.candidates(np.concatenate(windows)):
             text, start = owner[w]
-            tried[text, item].append((-times, start))
+            tried[text, item].append(start)
         leaks = []
         for (text, item), starts in tried.items():
-            done: list[tuple[int, int]] = []
-            for _, start in sorted(starts):
-                # Windows that begin within the edits of a verified leak, or inside it, show the same leak.
-                if any(a - length < start < b for a, b in done):
-                    continue
-                low = max(0, start - index.edits)
-                near = ids[text][low:start + length + index.edits]
-                if span := best_span(self.items[item][1], near, index.edits):
+            words, some = ids[text], self.items[item][1]
+            # Windows whose surroundings overlap are verified as one stretch of words.
+            stretches: list[list[int]] = []
+            for start in sorted(starts):
+                low, high = max(0, start - index.edits), min(len(words), start + length + index.edits)
+                if stretches and low <= stretches[-1][1]:
+                    stretches[-1][1] = high
+                else:
+                    stretches.append([low, high])
+            while stretches:
+                low, high = stretches.pop()
+                span = best_span(some, words[low:high], index.edits) if high - low >= length - index.edits else None
+                if span:
                     edits, a, b = span
-                    done.append((low + a, low + b))
                     leaks.append((text, item, edits, low + a, low + b))
+                    stretches += [[low, low + a], [low + b, high]]
         return leaks
 
 
@@ -256,6 +292,12 @@ def item_blocks(items: DataFrame, block: int) -> list[list[tuple]]:
     return [x for x in fetched if x]
 
 
+def searchers(items: DataFrame, similarity: float, recall: float, samples: int, block: int) -> list:
+    """The broadcast index of each block of items, bounded by the block."""
+    context = items.sparkSession.sparkContext
+    return [context.broadcast(Searcher(some, similarity, recall, samples)) for some in item_blocks(items, block)]
+
+
 def find_leaks(
     docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
     samples: int = SAMPLES, block: int = BLOCK,
@@ -268,9 +310,9 @@ def find_leaks(
     ])
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], schema)
-    for some in item_blocks(items, block):
-        def run(batches, some=some):
-            searcher = Searcher(some, similarity, recall, samples)
+    for shared in searchers(items, similarity, recall, samples, block):
+        def run(batches, shared=shared):
+            searcher = shared.value
             for batch in batches:
                 leaks = searcher.search(batch.column("text").to_pylist())
                 if leaks:
@@ -293,9 +335,9 @@ def drop_leaked(
 ) -> DataFrame:
     """The rows of docs in which no item leaks, with their columns as they are."""
     kept = docs
-    for some in item_blocks(items, block):
-        def run(batches, some=some):
-            searcher = Searcher(some, similarity, recall, samples)
+    for shared in searchers(items, similarity, recall, samples, block):
+        def run(batches, shared=shared):
+            searcher = shared.value
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 clean[[x[0] for x in searcher.search(batch.column("text").to_pylist())]] = False

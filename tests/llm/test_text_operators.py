@@ -213,6 +213,62 @@ def test_leaks_reach_the_recall(spark):
         assert levenshtein(span, item) == r["edits"] <= 0.2 * len(item)
 
 
+def with_edits(words, edits, rng):
+    out = list(words)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(out)), rng.randrange(3)
+        out[at:at + 1] = [["zz%d" % rng.randrange(10**6)], [out[at], "inserted"], []][kind]
+    return out
+
+
+@pytest.mark.parametrize("length", [16, 49, 100, 300, 600, 1200, 2000])
+def test_recall_at_the_most_edits_of_every_length(length):
+    rng, trials = random.Random(length), 150 if length < 500 else 20
+    items = [(i, made(40_000 + i, length)) for i in range(20)]
+    searcher = decontaminate.Searcher(items, 0.8, decontaminate.RECALL, decontaminate.SAMPLES)
+    texts = []
+    for k in range(trials):
+        words = with_edits(items[k % 20][1].split(), int(0.2 * length + 1e-9), rng)
+        texts.append(f"{made(k, 40)} {' '.join(words)} {made(k + 1000, 40)}")
+    found = {(t, i) for t, i, *_ in searcher.search(texts)}
+    assert sum((t, t % 20) in found for t in range(trials)) >= 0.96 * trials
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.95])
+def test_leaks_equal_sliding_edit_distance(similarity):
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.choice("abcdefghij") for _ in range(n))) for i, n in enumerate((1, 2, 4, 5, 5, 9, 14))]
+    texts = []
+    for _ in range(60):
+        words = [rng.choice("abcdefghijklmnop") for _ in range(12)]
+        item = rng.choice(items)[1].split()
+        at = rng.randrange(12)
+        words[at:at] = with_edits(item, rng.randrange(int((1 - similarity) * len(item) + 1e-9) + 1), rng)
+        texts.append(" ".join(words))
+    searcher = decontaminate.Searcher(items, similarity, 0.999, 3)
+    found = {(t, i) for t, i, *_ in searcher.search(texts)}
+    want = set()
+    for t, text in enumerate(texts):
+        words = text.split()
+        for i, item in items:
+            item = item.split()
+            most = int((1 - similarity) * len(item) + 1e-9)
+            spans = ((a, b) for a in range(len(words)) for b in range(a, min(len(words), a + len(item) + most) + 1))
+            if any(abs(b - a - len(item)) <= most and levenshtein(words[a:b], item) <= most for a, b in spans):
+                want.add((t, i))
+    assert found <= want and len(found) >= 0.98 * len(want)
+
+
+def test_leaks_side_by_side():
+    item = made(77, 30)
+    words = item.split()
+    short = " ".join(words[:10] + words[11:])
+    searcher = decontaminate.Searcher([(1, item)], 0.8, 0.98, 3)
+    for text, edits in ((f"{short} {item}", [1, 0]), (f"{item} {short}", [0, 1]), (f"{item} {item} {short}", [0, 0, 1])):
+        found = sorted((a, b, e) for _, _, e, a, b in searcher.search([f"head {text} tail"]))
+        assert [e for *_, e in found] == edits and all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False))
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
