@@ -35,6 +35,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def complete_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose writer has left _SUCCESS, which it does when all rows are in place."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(x.getPath().getParent().toString() for x in found or ())
+
+
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write the rows once and go on from the written table.
 

@@ -24,55 +24,55 @@ def _chunked(side: DataFrame, heavy: DataFrame, keys: Sequence[str], chunk: Colu
     return side.join(heavy, list(keys), "left").withColumn("_chunk", chunk(chunks)).drop("_chunks")
 
 
-def sku_pairs(
-    history: DataFrame,
-    reference: DataFrame,
-    basket_key: str = "customer_id",
-    by: Sequence[str] = ("region",),
-    distinct_baskets: bool = False,
-    chunk: int = BASKET_CHUNK,
-) -> DataFrame:
-    """How often a SKU of the focus type and a SKU of a recommended type share a basket.
+def basket_items(history: DataFrame, group: Sequence[str] = ("customer_id",)) -> DataFrame:
+    """Purchase lines per basket and SKU."""
+    return history.groupBy(*group, "pdm_prod_type_id", "item_sku_num").agg(F.count(F.lit(1)).alias("n"))
 
-    Purchases are first counted per basket and SKU, so a basket repeated in many lines weighs no more than
-    its distinct SKUs, and n focus and m other purchases add n*m pairs without listing them (1 with
-    `distinct_baskets`). A basket only meets the types its focus types recommend; a focus type that is not
-    listed for itself (rank 0) is no focus. Baskets with more than `chunk` SKUs are cut by focus SKU: each
-    part joins a copy of the basket's other SKUs in a task of its own.
 
-    The counts are written once for the two sides of the join, and the type pairs and heavy baskets so that
-    the planner knows their size: it broadcasts them only if they are small.
-    """
-    group = [*by, basket_key]
-    items = staged(
-        history.groupBy(*group, "pdm_prod_type_id", "item_sku_num").agg(F.count(F.lit(1)).alias("n")),
-        "basket_items",
-    )
-    sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_skus"))
-    heavy = staged(
-        sizes.filter(F.col("_skus") > chunk).select(
-            *group, F.ceil(F.col("_skus") / chunk).cast("int").alias("_chunks")
-        ),
-        "heavy_baskets",
-    )
+def reference_types(reference: DataFrame, by: Sequence[str] = ("region",)) -> DataFrame:
+    """Each focus type that is listed for itself (rank 0) with the other types it recommends, written once."""
     listed = reference.select(
         *by,
         F.col("focus_pdm_prod_type_id").alias("pdm_prod_type_id"),
         F.col("recomm_pdm_prod_type_id").alias("_type"),
     ).distinct()
     own = F.col("_type") == F.col("pdm_prod_type_id")
-    types = staged(
+    return staged(
         listed.filter(~own).join(
             listed.filter(own).drop("_type"), [*by, "pdm_prod_type_id"], "left_semi"
         ),
         "type_pairs",
     )
+
+
+def pair_counts(
+    focus_items: DataFrame,
+    other_items: DataFrame,
+    types: DataFrame,
+    by: Sequence[str] = ("region",),
+    basket_key: str = "customer_id",
+    distinct_baskets: bool = False,
+    chunk: int = BASKET_CHUNK,
+) -> DataFrame:
+    """Products of the counts n of the focus and the other SKUs of a basket, summed by SKU pair.
+
+    Counts may be signed. Baskets with more than `chunk` focus SKUs are cut by focus SKU: each part joins a copy
+    of the basket's other SKUs in a task of its own. Both sides must be written tables.
+    """
+    group = [*by, basket_key]
+    sizes = focus_items.groupBy(*group).agg(F.count(F.lit(1)).alias("_skus"))
+    heavy = staged(
+        sizes.filter(F.col("_skus") > chunk).select(
+            *group, F.ceil(F.col("_skus") / chunk).cast("int").alias("_chunks")
+        ),
+        "heavy_baskets",
+    )
     focus = _chunked(
-        items.join(types, [*by, "pdm_prod_type_id"]), heavy, group,
+        focus_items.join(types, [*by, "pdm_prod_type_id"]), heavy, group,
         lambda chunks: F.pmod(F.xxhash64("item_sku_num"), chunks).cast("int"),
     ).select(*group, "_type", "_chunk", F.col("item_sku_num").alias("Focus"), F.col("n").alias("_n"))
     other = _chunked(
-        items, heavy, group, lambda chunks: F.explode(F.sequence(F.lit(0), chunks - 1))
+        other_items, heavy, group, lambda chunks: F.explode(F.sequence(F.lit(0), chunks - 1))
     ).select(
         *group,
         F.col("pdm_prod_type_id").alias("_type"),
@@ -88,6 +88,29 @@ def sku_pairs(
     )
 
 
+def sku_pairs(
+    history: DataFrame,
+    reference: DataFrame,
+    basket_key: str = "customer_id",
+    by: Sequence[str] = ("region",),
+    distinct_baskets: bool = False,
+    chunk: int = BASKET_CHUNK,
+) -> DataFrame:
+    """How often a SKU of the focus type and a SKU of a recommended type share a basket.
+
+    Purchases are first counted per basket and SKU, so a basket repeated in many lines weighs no more than
+    its distinct SKUs, and n focus and m other purchases add n*m pairs without listing them (1 with
+    `distinct_baskets`). A basket only meets the types its focus types recommend; a focus type that is not
+    listed for itself (rank 0) is no focus.
+
+    The counts are written once for the two sides of the join, and the type pairs and heavy baskets so that
+    the planner knows their size: it broadcasts them only if they are small.
+    """
+    items = staged(basket_items(history, [*by, basket_key]), "basket_items")
+    types = reference_types(reference, by)
+    return pair_counts(items, items, types, by, basket_key, distinct_baskets, chunk)
+
+
 def sku_recommendations(
     pairs: DataFrame, skus: DataFrame, reference: DataFrame, by: Sequence[str] = ("region",)
 ) -> DataFrame:

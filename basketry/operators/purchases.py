@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.expressions import month_window, unit_price
@@ -26,14 +28,18 @@ def base_transactions(
     customers: DataFrame,
     skus: DataFrame,
     params: PairParams,
+    days: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Purchase lines of the window, each distinct line once, with customer and SKU attributes.
 
+    `days`, if given, tells the days wanted instead of the window.
+
     Lines are deduplicated while they hold ids, price and units only; the wide text columns are joined to
     the distinct rows. Every column of `skus` is part of the result, so this equals deduplicating at the end.
     """
+    booked = F.col("transaction_booked_date")
     lines = sales_line.filter(
-        month_window(F.col("transaction_booked_date"), params.as_of, params.window_months)
+        (days(booked) if days else month_window(booked, params.as_of, params.window_months))
         & (F.col("concept_format_id") == params.concept_format_id)
     ).select(
         "transaction_guid",

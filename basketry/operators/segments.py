@@ -23,23 +23,22 @@ def pivot_scores(
 ) -> DataFrame:
     """One row per customer with a column p<id> per type.
 
-    The ids are given, so training and scoring get the same columns; one group by customer makes them all. A
-    customer with two scores for a type is an error, unless `on_duplicate` is "max".
+    The ids are given, so training and scoring get the same columns. Scores are brought to one cell per customer and
+    type first, within each task before they are dealt out, and the cells then into one array per customer.
+    A customer with two scores for a listed type is an error, unless `on_duplicate` is "max".
     """
     if on_duplicate not in ("raise", "max"):
         raise ValueError(f"on_duplicate must be raise or max: {on_duplicate}")
-
-    def cell(type_id: int) -> Column:
-        own = F.col(TYPE) == type_id
-        best = F.max(F.when(own, F.col("p")))
-        if on_duplicate == "raise":
-            message = F.concat(
-                F.lit("two scores for customer and type "), F.col(key).cast("string"), F.lit(f" {type_id}")
-            )
-            best = F.when(F.count_if(own) > 1, F.raise_error(message)).otherwise(best)
-        return best.alias(f"p{type_id}")
-
-    return scores.groupBy(key).agg(*[cell(t) for t in type_ids])
+    cell = F.max("p")
+    if on_duplicate == "raise":
+        message = F.concat(
+            F.lit("two scores for customer and type "), F.first(F.col(key).cast("string")), F.lit(" "),
+            F.first(F.col(TYPE).cast("string")),
+        )
+        twice = (F.count(F.lit(1)) > 1) & F.first(F.col(TYPE)).isin(*type_ids)
+        cell = F.when(twice, F.raise_error(message)).otherwise(cell)
+    wide = scores.groupBy(key).pivot(TYPE, list(type_ids)).agg(cell)
+    return wide.select(key, *[F.col(f"`{t}`").alias(f"p{t}") for t in type_ids])
 
 
 def top_types_per_customer(scores: DataFrame, n: int = 4, key: str = "customer_id") -> DataFrame:

@@ -12,7 +12,7 @@ from basketry.plans.jobs import JobParams, Jobs
 from basketry.sources.tables import RetailTables, load_table
 
 
-def _jobs(description: str, argv: list[str] | None) -> Jobs:
+def _parser(description: str) -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=description)
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--database", help="catalog database with the input tables")
@@ -27,7 +27,14 @@ def _jobs(description: str, argv: list[str] | None) -> Jobs:
     parser.add_argument("--customers", help="table or path of the customers (customer_id) to score")
     parser.add_argument("--types", type=lambda text: [int(t) for t in text.split(",")], help="type ids to model")
     parser.add_argument("--skip-types", type=int, default=JobParams.skip_types, help="most frequent types left out")
-    args = parser.parse_args(argv)
+    return parser
+
+
+def _jobs(description: str, argv: list[str] | None) -> Jobs:
+    return _made(description, _parser(description).parse_args(argv))
+
+
+def _made(description: str, args: argparse.Namespace) -> Jobs:
     spark = SparkSession.builder.appName(description).getOrCreate()
     tables = (
         RetailTables.from_database(spark, args.database)
@@ -58,3 +65,15 @@ def pair(argv: list[str] | None = None) -> None:
     jobs = _jobs("pair-products", argv)
     jobs.type_pairs()
     jobs.sku_pairs()
+
+
+def refresh(argv: list[str] | None = None) -> None:
+    parser = _parser("refresh-pairs")
+    parser.add_argument("--previous", required=True, help="results folder of the earlier day's run")
+    parser.add_argument("--before", type=dt.date.fromisoformat, required=True, help="day of that run")
+    parser.add_argument(
+        "--restated", type=lambda text: [dt.date.fromisoformat(d) for d in text.split(",")], default=(),
+        help="days whose lines were corrected or booked late",
+    )
+    args = parser.parse_args(argv)
+    _made("refresh-pairs", args).refresh_sku_pairs(args.previous, args.before, args.restated)

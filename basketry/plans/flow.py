@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators import catalog, features, pairs, purchases, ranking, ratings, reactivation, regions
+from basketry.functions.lineage import staged
+from basketry.operators import (
+    catalog, features, pairs, purchases, ranking, ratings, reactivation, refresh, regions,
+)
 from basketry.params import PairParams, ReactivationParams
 from basketry.sources.tables import RetailTables
 
@@ -111,6 +115,23 @@ class Flow:
     def regional_history(self) -> DataFrame:
         return pairs.tag_regions(self.base_transactions, self.region_of_customer)
 
+    def refreshed(self, state: refresh.WindowState, before: dt.date, reference: DataFrame,
+                  restated: Sequence[dt.date] = (), moved_customers: DataFrame | None = None) -> refresh.WindowState:
+        """The window of an earlier day's run moved to this run's day by deltas, for the same type pairs."""
+        t, p = self.tables, self.pairs
+        move = refresh.Move(before, p.as_of, p.window_months, tuple(restated))
+        entering = purchases.base_transactions(
+            t.sales_line, t.customer_txn_xref, t.customer_curr, self.sku_dimension, p, move.entering
+        )
+        return refresh.refresh_window(
+            state, entering, move, reference,
+            lambda customers: regions.region_of_customer(
+                customers, t.customer_address, t.address_mstr, t.mailing_address, p
+            ),
+            p.min_types, moved_customers,
+            lambda df, name: kept if (kept := self._keep(df, name)) is not df else staged(df, name),
+        )
+
     # Reactivation, training side
 
     @cached_property

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -10,7 +11,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import calibration, factorization, pairs, propensity, purchases, ranking, segments
+from basketry.operators import (
+    calibration, factorization, pairs, propensity, purchases, ranking, refresh, segments,
+)
 from basketry.params import (
     FEATURES, ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams,
 )
@@ -78,6 +81,29 @@ class Jobs:
             "type_pair_reference",
         )
         mined = self._write(pairs.sku_pairs(f.regional_history, reference), "sku_pairs")
+        self._write(pairs.basket_items(f.base_transactions), "basket_items")
+        return self._described(mined, reference)
+
+    def refresh_sku_pairs(self, previous: str, before: dt.date, restated: Sequence[dt.date] = ()) -> DataFrame:
+        """SKU pairs of this day from the results of an earlier day's run, by what has changed in between.
+
+        Recommended type pairs stay those of that run; its folder is left as it is. The folder of this run has
+        all that the next refresh needs. `restated` are days whose lines were corrected or booked late.
+        """
+        previous = previous.rstrip("/")
+        if previous == self.out:
+            raise ValueError("a refresh writes to a folder of its own")
+
+        def earlier(name: str) -> DataFrame:
+            return self.spark.read.parquet(f"{previous}/{name}")
+
+        state = refresh.WindowState(*map(earlier, ("base_transactions", "basket_items", "region_of_customer", "sku_pairs")))
+        reference = self._write(earlier("type_pair_reference"), "type_pair_reference")
+        moved = self.flow.refreshed(state, before, reference, restated)
+        return self._described(moved.pairs, reference)
+
+    def _described(self, mined: DataFrame, reference: DataFrame) -> DataFrame:
+        f = self.flow
         described = pairs.sku_recommendations(mined, f.sku_dimension, reference)
         return write_table(described, self._path("sku_recommendations"), "replace", partition_by=["region"])
 

@@ -11,7 +11,8 @@ from pyspark.sql.types import ArrayType, DateType, DoubleType, TimestampType
 
 from basketry.functions.lineage import fresh_path, staged
 from basketry.operators import (
-    calibration, catalog, factorization, features, monitoring, pairs, propensity, purchases, ranking, segments,
+    calibration, catalog, factorization, features, monitoring, pairs, propensity, purchases, ranking, refresh,
+    segments,
 )
 from basketry.params import FEATURES, ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.checked_scores import co_purchase_scores, purchase_shares
@@ -19,6 +20,7 @@ from basketry.plans.flow import Flow
 from basketry.session import tuned
 from basketry.sources import sinks
 from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, RAW, raw, retail_tables, shop_rows
+from basketry.streaming import carts
 from basketry.streaming import events as streams
 
 # Stages that several later ones read; they are written once per query.
@@ -36,16 +38,20 @@ CHECK_FACTORS = FactorParams()
 # Every id the test tables can give a type: brand 1-25 and kind 1-6.
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
 # Cents divided by whole units can end in a five at the seventh digit, where engines round differently.
-DIGITS = {"base_transactions": 8}
+DIGITS = {"base_transactions": 8, "refreshed_base_transactions": 8}
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
 # A day in the middle of the tables, for runs that must not see what comes after it.
 PAST = dt.date(1999, 8, 1)
 # Six months and a day later: the window of six months up to it begins the day after PAST.
 LATER = dt.date(2000, 2, 2)
+# Two weeks after PAST: the day a run of PAST is moved to by deltas.
+REFRESHED = dt.date(1999, 8, 15)
 PAST_STAGES = ("purchase_gaps", "at_risk_lapsed", "scoring_customers", "latest_features", "scoring_features")
 # The test events are hours apart, so sessions and carts get longer pauses than in a shop.
 SESSION_GAP = "8 hours"
+# How long the streams wait for late events, and in how many parts the test events arrive.
+LATE, ARRIVALS = "1 hour", 3
 CART_WAIT = "240 hours"
 
 
@@ -306,6 +312,68 @@ def _later_hits(spark: SparkSession, folder: str) -> DataFrame:
     return monitoring.later_hits(recs, later.customer_type_counts, later.region_of_customer)
 
 
+def window_state(spark: SparkSession, folder: str, day: dt.date) -> tuple[refresh.WindowState, DataFrame]:
+    """Written stages of a day's run, and its type pairs."""
+    f = flow(spark, folder, as_of=day)
+    base = staged(f.base_transactions, "base_transactions")
+    reference = _kept_reference(f)
+    mined = pairs.sku_pairs(pairs.tag_regions(base, f.region_of_customer), reference)
+    state = refresh.WindowState(
+        base, staged(pairs.basket_items(base), "basket_items"), f.region_of_customer, staged(mined, "sku_pairs")
+    )
+    return state, reference
+
+
+def _refreshed(spark: SparkSession, folder: str) -> refresh.WindowState:
+    """The run of PAST moved to REFRESHED."""
+    state, reference = window_state(spark, folder, PAST)
+    return flow(spark, folder, as_of=REFRESHED).refreshed(state, PAST, reference)
+
+
+def _arrivals(spark: SparkSession, folder: str):
+    """The test events in parts by time, each written to a folder when asked for: (folder, part's folder)."""
+    events = raw(spark, folder, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    shares = [n / ARRIVALS for n in range(1, ARRIVALS)]
+    cuts = events.agg(F.percentile_approx(micros, shares, 10_000)).first()[0] or [0] * len(shares)
+    path = fresh_path(spark, "arrivals")
+    for n, (low, high) in enumerate(zip([-(1 << 62), *cuts], [*cuts, 1 << 62], strict=True)):
+        part = f"{path}/part{n}"
+        events.filter((micros >= low) & (micros < high)).write.parquet(part)
+        yield path, part
+
+
+def _arrived(spark: SparkSession, path: str) -> DataFrame:
+    """The stream of all parts there are, each one micro-batch, as their files are in no order of time."""
+    raw_events = streams.event_stream(spark, path, RAW["events"], files_per_trigger=100_000, nested=True)
+    return streams.shop_events(shop_rows(raw_events), LATE)
+
+
+def _streamed_session_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of the sessions closed at the end of a stream that is started anew for every part of the events."""
+    out, progress = fresh_path(spark, "session-pairs"), fresh_path(spark, "session-progress")
+    for path, _ in _arrivals(spark, folder):
+        rows = streams.session_pair_rows(streams.sessions(_arrived(spark, path), SESSION_GAP))
+        streams.append_to(rows, out, progress).awaitTermination()
+    return streams.count_session_pairs(spark.read.schema(rows.schema).parquet(out))
+
+
+def _streamed_carts(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommendations for carts kept by a stream that is started anew for every part; the last part is delivered
+    again after compaction."""
+    table = carts.CartTable(spark, fresh_path(spark, "carts"), keep=None)
+    progress = fresh_path(spark, "carts-progress")
+    for n, (path, part) in enumerate(_arrivals(spark, folder)):
+        carts.keep_carts(_arrived(spark, path), table, progress).awaitTermination()
+        if n:
+            table.compact()
+    again = streams.shop_events(shop_rows(spark.read.schema(RAW["events"]).parquet(part)))
+    table.upsert(again, 0)
+    stages = flow(spark, folder)
+    recs = staged(_recs(stages), "recs")
+    return streams.recommend_for_carts(table.carts(), recs, stages.region_of_customer, LOOKUP["top_n"])
+
+
 def _streamed(spark: SparkSession, folder: str) -> DataFrame:
     """Shop events written by a stream over the events file, read back."""
     cleaned = streams.shop_events(
@@ -344,12 +412,18 @@ EVENT_STAGES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "live_recommendations": _live,
     "cart_recommendations": _carts,
+    "stream_session_pairs": _streamed_session_pairs,
+    "stream_cart_recommendations": _streamed_carts,
+    "refreshed_base_transactions": lambda spark, folder: _refreshed(spark, folder).base,
+    "refreshed_type_counts": lambda spark, folder: refresh.type_counts(_refreshed(spark, folder).items),
+    "refreshed_regions": lambda spark, folder: _refreshed(spark, folder).regions,
+    "refreshed_sku_pairs": lambda spark, folder: _refreshed(spark, folder).pairs,
 }
 
 
 def _event_query(name: str, stage) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(stage(tuned(spark), folder))
+        return comparable(stage(tuned(spark), folder), DIGITS.get(name, 6))
 
     run.__name__ = name
     return run

@@ -1,11 +1,13 @@
 """Shop events: cleaning, sessions, abandoned carts, hourly profile, recommendations for the current product.
 
-Every function takes a streaming or a static frame of events, so a stream and its replay share one definition.
+Functions take a streaming or a static frame of events, so a stream and its replay share one definition, but for
+two: session_pairs sums over all closed sessions, of which a stream has no end (it writes session_pair_rows, to be
+summed when read), and cart_recommendations needs a table of carts, which carts.py keeps up to date from a stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
@@ -20,10 +22,14 @@ BOUGHT, TOUCHED = 1, 2
 
 
 def event_stream(
-    spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 100, glob: str | None = None
+    spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 100, glob: str | None = None,
+    nested: bool = False,
 ) -> DataFrame:
-    """New Parquet files of a folder as a stream: all of them, or those whose names fit the glob."""
+    """New Parquet files of a folder (nested: and the folders in it) as a stream: all of them, or those whose names
+    fit the glob."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    if nested:
+        reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(folder)
@@ -56,6 +62,27 @@ def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     )
 
 
+def session_pair_rows(closed: DataFrame) -> DataFrame:
+    """(customer_id, start, bought, touched): each product bought in a session with each one seen or put in the cart.
+
+    Both are taken from the session's own set, without a join, so a stream hands them out as sessions close.
+    """
+    def products(wanted) -> Column:
+        return F.array_distinct(F.transform(F.filter("seen", wanted), lambda x: x["product_id"]))
+
+    sides = closed.select(
+        "customer_id", "start",
+        F.explode(products(lambda x: x["kind"] == "purchase")).alias("bought"),
+        products(lambda x: x["kind"] != "purchase").alias("touched"),
+    )
+    return sides.select("customer_id", "start", "bought", F.explode("touched").alias("touched"))
+
+
+def count_session_pairs(rows: DataFrame) -> DataFrame:
+    """Sessions of each pair, from the rows that a stream has written."""
+    return rows.groupBy("bought", "touched").agg(F.count(F.lit(1)).alias("n_sessions"))
+
+
 def session_pairs(closed: DataFrame) -> DataFrame:
     """Sessions in which one product was bought and the other one seen or put in the cart."""
     seen = closed.select("customer_id", "start", F.inline("seen"))
@@ -136,21 +163,25 @@ def live_recommendations(
     )
 
 
-def cart_recommendations(
-    events: DataFrame, recs: DataFrame, customer_region: DataFrame, top_n: int = 10, default: str = UNKNOWN_REGION
+def last_cart_events(events: DataFrame) -> DataFrame:
+    """(customer_id, product_id, kind, ts, event_id): what last happened to a product of a customer's cart."""
+    latest = F.max_by(F.struct("kind", "ts", "event_id"), F.struct("ts", "event_id")).alias("last")
+    return (
+        events.filter(F.col("kind").isin("cart_add", "purchase"))
+        .groupBy("customer_id", "product_id").agg(latest).select("customer_id", "product_id", "last.*")
+    )
+
+
+def recommend_for_carts(
+    cart: DataFrame, recs: DataFrame, customer_region: DataFrame, top_n: int = 10, default: str = UNKNOWN_REGION
 ) -> DataFrame:
-    """The top_n types for every customer with a cart: those best ranked for any type in it, without those that are
-    in it. A batch over the events of the time that a cart counts.
+    """The top_n types for every customer with a cart (customer_id, product_id): those best ranked for any type in
+    it, without those that are in it.
 
-    A type in the cart is what was put there and not bought since. Types are reduced to one row per customer and
-    type before they are ranked, so the ranks run over the types there are.
+    Types are reduced to one row per customer and type before they are ranked, so the ranks run over the types
+    there are.
     """
-    last = F.max_by("kind", F.struct("ts", "event_id"))
-    cart = (
-        events.filter(F.col("kind").isin("cart_add", "purchase"))
-        .groupBy("customer_id", "product_id").agg(last.alias("kind"))
-        .filter("kind = 'cart_add'").select("customer_id", "product_id")
-    )
+    cart = cart.select("customer_id", "product_id")
     shown = live_recommendations(
         cart.withColumn("event_id", F.lit(0)), recs, customer_region, top_n=None, default=default
     )
@@ -165,6 +196,14 @@ def cart_recommendations(
     )
 
 
+def cart_recommendations(
+    events: DataFrame, recs: DataFrame, customer_region: DataFrame, top_n: int = 10, default: str = UNKNOWN_REGION
+) -> DataFrame:
+    """recommend_for_carts for the carts at the end of a batch of events: what was put there and not bought since."""
+    cart = last_cart_events(events).filter("kind = 'cart_add'")
+    return recommend_for_carts(cart, recs, customer_region, top_n, default)
+
+
 def append_to(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet table, all that has arrived so far; a restart goes on where it stopped."""
     return (

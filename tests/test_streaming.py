@@ -1,12 +1,14 @@
 """Streams give what the same functions give on the whole table."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions.lineage import fresh_path
 from basketry.sources.fixtures import RAW, raw, shop_rows
+from basketry.streaming import carts
 from basketry.streaming import events as streams
 
 
@@ -121,3 +123,62 @@ def test_any_file_name_and_every_kind(spark):
     spark.createDataFrame(made, schema).write.parquet(path)
     written, _ = finish(spark, streams.shop_events(streams.event_stream(spark, path, schema)))
     assert sorted(r.kind for r in written.collect()) == ["cart_add", "click", "purchase", "view"]
+
+
+def test_session_pairs_of_a_stream(spark, folder, source, rows):
+    """Restarted for every file; what has closed equals the batch, also where a product is both bought and seen."""
+    batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
+    closed = streams.sessions(batch, "12 hours")
+    assert rows(streams.count_session_pairs(streams.session_pair_rows(closed)), "bought", "touched", "n_sessions") == rows(
+        streams.session_pairs(closed), "bought", "touched", "n_sessions"
+    )
+    live = streams.shop_events(shop_rows(stream(spark, source)), late="1 second")
+    got = rows(finish(spark, streams.session_pair_rows(streams.sessions(live, "12 hours")))[0])
+    expected = rows(streams.session_pair_rows(closed))
+    assert set(got) <= set(expected) and len(got) == len(set(got)) > len(expected) * 0.5
+
+
+CART = "customer_id long, product_id long, kind string, ts timestamp, event_id long"
+
+
+def cart_events(spark, *events):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(c, p, kind, start + dt.timedelta(days=day), i) for c, p, kind, day, i in events]
+    return spark.createDataFrame(rows, CART)
+
+
+def test_cart_table_keeps_the_last_event(spark, rows):
+    table = carts.CartTable(spark, fresh_path(spark, "carts"), keep="30 days")
+    assert table.carts().count() == 0
+    first = cart_events(spark, (1, 10, "cart_add", 0, 1), (1, 11, "cart_add", 1, 2), (2, 10, "cart_add", 1, 3), (1, 12, "view", 1, 9))
+    second = cart_events(spark, (1, 10, "purchase", 2, 4), (2, 10, "purchase", 0, 5), (3, 7, "cart_add", 20, 6))
+    assert table.upsert(first, 0) and table.upsert(second, 1)
+    want = [(1, 11), (2, 10), (3, 7)]
+    assert rows(table.carts(), "customer_id", "product_id") == want
+    # Delivered again: with other rows, after compaction, and where its write was interrupted.
+    assert not table.upsert(first.limit(0), 1)
+    table.compact()
+    assert not table.upsert(second.limit(0), 0) and rows(table.carts(), "customer_id", "product_id") == want
+    late = cart_events(spark, (1, 11, "purchase", 1, 1), (1, 10, "cart_add", 40, 8))
+    place = f"{table.path}/batch-2"
+    late.write.parquet(place)
+    (Path(place.removeprefix("file:")) / "_SUCCESS").unlink()
+    assert rows(table.carts(), "customer_id", "product_id") == want
+    assert table.upsert(late, 2)
+    # The late purchase is older than the entry it names; day 40 lets all before day 10 expire.
+    assert rows(table.carts(), "customer_id", "product_id") == [(1, 10), (3, 7)]
+    table.compact()
+    table.compact()
+    assert table.last_events().count() == 2
+
+
+def test_carts_of_a_stream(spark, folder, source, rows):
+    batch = streams.shop_events(shop_rows(raw(spark, folder, "events")))
+    expected = streams.last_cart_events(batch).filter("kind = 'cart_add'")
+    table = carts.CartTable(spark, fresh_path(spark, "carts"), keep=None)
+    live = streams.shop_events(shop_rows(stream(spark, source)), late="30 days")
+    progress = fresh_path(spark, "progress")
+    for _ in range(2):
+        carts.keep_carts(live, table, progress).awaitTermination()
+        table.compact()
+    assert rows(table.carts()) == rows(expected, "customer_id", "product_id", "ts")
