@@ -122,7 +122,7 @@ class Jobs:
                 "y", F.when(F.col("_bought") == F.col(TYPE), 1.0).otherwise(0.0)
             )
             self._write(
-                calibration.fit_calibration(seen_scores, list(models), p.trees.parallelism), "calibration"
+                calibration.fit_calibration(seen_scores, list(models)), "calibration"
             )
         scores = self._scored(feature_rows(training, FEATURES), types, "training_scores")
         wide = self._wide(self._calibrated(scores), "training_vectors")

@@ -172,28 +172,39 @@ def _importance(f: Flow) -> DataFrame:
     return propensity.feature_importance(models, f.tables.sales_txn.sparkSession)
 
 
-def _binned(f: Flow) -> DataFrame:
-    """Customer-and-type shares in tenths, with an outcome to calibrate to: the type was bought again."""
-    bought_again = (F.col("trans_count") > 1).cast("double")
+def _bought_again(f: Flow) -> DataFrame:
+    """Customer-and-type shares, with an outcome to calibrate to: the type was bought again."""
     return f.customer_type_counts.join(
         _shares(f), ["customer_id", "pdm_prod_type_id"]
     ).select(
         "customer_id",
         # One curve per price class of types, the last digit of the id.
         (F.col("pdm_prod_type_id") % 10).alias("pdm_prod_type_id"),
-        (F.floor(F.col("p") * 10) / 10).alias("p"),
-        bought_again.alias("y"),
+        "p",
+        (F.col("trans_count") > 1).cast("double").alias("y"),
     )
 
 
+def _binned(f: Flow) -> DataFrame:
+    """The shares in tenths."""
+    return _bought_again(f).withColumn("p", F.floor(F.col("p") * 10) / 10)
+
+
 def _calibrated(f: Flow) -> DataFrame:
     binned = _binned(f)
-    kinds = [r[0] for r in binned.select("pdm_prod_type_id").distinct().collect()]
-    curves = calibration.fit_calibration(binned, sorted(kinds))
-    points = binned.groupBy("pdm_prod_type_id", "p").agg(F.count(F.lit(1)).alias("n"))
+    return _fitted_points(binned)
+
+
+def _fitted_points(scored: DataFrame) -> DataFrame:
+    curves = staged(calibration.fit_calibration(scored), "calibration-curves")
+    points = scored.groupBy("pdm_prod_type_id", "p").agg(F.count(F.lit(1)).alias("n"))
     return calibration.calibrate_scores(points, curves)
 
 
+def _calibrated_unbinned(f: Flow) -> DataFrame:
+    return _fitted_points(staged(_bought_again(f), "shares"))
+
+
 def _score_checkpoint(f: Flow) -> DataFrame:
     """A run that finished all types, then a rerun whose other values must not replace them."""
     scores = _shares(f)
@@ -287,6 +298,7 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "train_propensity": _manifest,
     "propensity_scores": _propensity,
     "calibrate_scores": _calibrated,
+    "calibrate_unbinned_scores": _calibrated_unbinned,
     "score_checkpoint": _score_checkpoint,
     "write_table": _write_table,
     "pivot_scores": _wide,

@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from basketry.functions.lineage import fresh_path
+from basketry.functions.lineage import staged
 from basketry.operators import calibration, factorization, monitoring, propensity, segments
 from basketry.params import ClusterParams, FactorParams, TreeParams
 from basketry.plans import registry
@@ -139,6 +140,55 @@ def test_calibration(spark):
     assert found[2, 0.5] == found[2, 0.9] == 0.5
 
 
+def brute_isotonic(points):
+    """Fitted value by score: the best lower start of the best upper mean."""
+    found = {}
+    for k, (p, *_) in enumerate(points):
+        found[p] = max(
+            min(sum(y for _, y, _ in points[i:j + 1]) / sum(n for *_, n in points[i:j + 1]) for j in range(k, len(points)))
+            for i in range(k + 1)
+        )
+    return found
+
+
+def test_calibration_over_many_tasks(spark):
+    rng = random.Random(3)
+    # Type 1 has most rows, a third of all at one score; types 3 and 4 rise and fall all the way.
+    data = [(1, 0.25 if rng.random() < 0.4 else round(rng.random(), 2), float(rng.random() < 0.3), i) for i in range(3000)]
+    data += [(3, i / 40, float(i >= 20), i) for i in range(40)] + [(4, i / 40, float(i < 20), i) for i in range(40)]
+    data += [(2, None, 1.0, 0), (2, 0.5, None, 0), (2, float("nan"), 1.0, 0), (2, 0.5, 1.0, 1)]
+    scored = spark.createDataFrame(data, "pdm_prod_type_id bigint, p double, y double, line long").repartition(7)
+    curves = staged(calibration.fit_calibration(scored), "curves")
+    assert curves.filter("pdm_prod_type_id = 4").count() == 3 and curves.columns[1:] == ["score", "value", "next_score", "next_value"]
+    rows = calibration.calibrate_scores(scored, curves).collect()
+    assert sorted(((r.pdm_prod_type_id, r.line, str(r.p)) for r in rows)) == sorted((t, i, str(p)) for t, p, _, i in data)
+    for t in (1, 2, 3, 4):
+        sums = {}
+        for u, p, y, _ in data:
+            if u == t and p is not None and p == p and y is not None:
+                s, n = sums.get(p, (0, 0))
+                sums[p] = (s + y, n + 1)
+        want = brute_isotonic([(p, *sums[p]) for p in sorted(sums)])
+        for r in rows:
+            if r.pdm_prod_type_id == t and r.p is not None and r.p == r.p:
+                assert math.isclose(r.calibrated, want[r.p], abs_tol=1e-12)
+    assert sum(r.calibrated is None for r in rows) == 2
+    between = spark.createDataFrame([(3, 0.4875 + 1e-6, 1), (9, 0.5, 1)], "pdm_prod_type_id bigint, p double, score long")
+    got = calibration.calibrate_scores(between, curves, "p").collect()
+    assert len(got) == 1 and got[0].score == 1 and math.isclose(got[0].p, 0.5, abs_tol=1e-3)
+    assert calibration.calibrate_scores(scored, curves.limit(0)).count() == 0
+
+
+def test_pooling_runs_first_changes_nothing():
+    rng = random.Random(4)
+    points = [(i, i, float(rng.randrange(4)), 3.0) for i in range(200)]
+    whole = next(calibration.pooled((1, p) for p in points))[1]
+    parts = []
+    for low in range(0, 200, 23):
+        parts += next(calibration.pooled((1, p) for p in points[low:low + 23]))[1]
+    assert next(calibration.pooled((1, p) for p in parts))[1] == whole and len(whole) < 200
+
+
 def long_scores(spark, *data):
     return spark.createDataFrame(list(data), "customer_id bigint, pdm_prod_type_id bigint, p double")
 
