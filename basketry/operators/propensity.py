@@ -65,7 +65,7 @@ def classifier(params: TreeParams) -> GBTClassifier:
 
 
 # Settings that do not change a fitted model.
-_RUN_ONLY = ("parallelism", "checkpoint_interval", "calibration")
+_RUN_ONLY = ("parallelism", "checkpoint_interval", "calibration", "method")
 
 
 def run_id(training: DataFrame, params: TreeParams, features: Sequence[str] = FEATURES) -> str:

@@ -111,7 +111,11 @@ class ReactivationParams:
 
 @dataclass(frozen=True)
 class TreeParams:
-    """One boosted-tree classifier per product type."""
+    """One boosted-tree classifier per product type.
+
+    method "histogram" grows the trees of all types at once, with a share of the features per tree and l2; "node" fits
+    one model after the other, with a share of the features per node and without l2.
+    """
 
     learning_rate: float = 0.01
     trees: int = 1000
@@ -125,6 +129,8 @@ class TreeParams:
     calibration: str = "isotonic"
     parallelism: int = 8
     checkpoint_interval: int = 10
+    method: str = "histogram"
+    l2: float = 1.0
 
     def __post_init__(self):
         if not 0 < self.learning_rate < 1:
@@ -135,6 +141,8 @@ class TreeParams:
             raise ValueError(f"parallelism must be positive: {self.parallelism}")
         if not 0 < self.train_share <= 1:
             raise ValueError(f"train_share must lie in (0, 1]: {self.train_share}")
+        if self.method not in ("histogram", "node"):
+            raise ValueError(f"unknown method: {self.method}")
         if self.calibration not in ("none", "isotonic"):
             raise ValueError(f"unknown calibration: {self.calibration}")
 

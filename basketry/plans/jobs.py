@@ -11,8 +11,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.functions.lineage import complete_folders
 from basketry.operators import (
-    calibration, factorization, pairs, propensity, purchases, ranking, refresh, segments,
+    boosting, calibration, factorization, pairs, propensity, purchases, ranking, refresh, segments,
 )
 from basketry.params import (
     FEATURES, ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams,
@@ -113,7 +114,10 @@ class Jobs:
         training = f.reactivation_features
         types = f.shopping_types(p.skip_types)
         self._write(self.spark.createDataFrame([(t,) for t in types], f"{TYPE} bigint"), "shopping_types")
-        models = propensity.train_propensity(training, types, self._path("models"), p.trees)
+        if p.trees.method == "histogram":
+            self._boost(training, types)
+        else:
+            propensity.train_propensity(training, types, self._path("models"), p.trees)
         if p.trees.calibration == "isotonic":
             seen = propensity.sample_rows(training, p.trees.train_share, p.trees.seed).withColumnRenamed(
                 TYPE, "_bought"
@@ -122,7 +126,7 @@ class Jobs:
                 "y", F.when(F.col("_bought") == F.col(TYPE), 1.0).otherwise(0.0)
             )
             self._write(
-                calibration.fit_calibration(seen_scores, list(models)), "calibration"
+                calibration.fit_calibration(seen_scores, types), "calibration"
             )
         scores = self._scored(feature_rows(training, FEATURES), types, "training_scores")
         wide = self._wide(self._calibrated(scores), "training_vectors")
@@ -147,8 +151,16 @@ class Jobs:
         Each group is committed before the next one starts, so an interrupted run goes on with the groups left.
         The path names the models used: other models score anew.
         """
+        if not complete_folders(self.spark, self._path("boosted_run" if self.params.trees.method == "histogram" else "shopping_types")):
+            raise ValueError("no model to score with: train first")
         checkpoint = self._path(f"{name}_{self._models_id()}")
         done = finished_partitions(self.spark, checkpoint, TYPE)
+        if self.params.trees.method == "histogram":
+            trees = self._trees().filter(~F.col(TYPE).isin(*done)) if done else self._trees()
+            for group in boosting.type_groups(trees):
+                own = trees.filter(F.col(TYPE).isin(*group))
+                checkpoint_scores(boosting.boosted_scores(rows, own, keep=keep), checkpoint)
+            return self.spark.read.parquet(checkpoint).withColumn(TYPE, F.col(TYPE).cast("bigint"))
         folder, todo = self._path("models"), [t for t in types if t not in done]
         groups = propensity.model_groups(self.spark, todo, folder, self.params.trees.max_depth)
         if not groups and not done:
@@ -158,8 +170,28 @@ class Jobs:
             checkpoint_scores(propensity.propensity_scores(rows, models, keep=keep), checkpoint)
         return self.spark.read.parquet(checkpoint).withColumn(TYPE, F.col(TYPE).cast("bigint"))
 
+    def _boost(self, training: DataFrame, types: list[int]) -> None:
+        """Trees of all types; a rerun on the same rows with the same settings goes on where it stopped."""
+        p = self.params.trees
+        run = propensity.run_id(training, p)
+        run = hashlib.sha256(repr((run, types)).encode()).hexdigest()[:16]
+        boosting.train_boosted(
+            propensity.sample_rows(training, p.train_share, p.seed), types, self._path(f"boosted/run={run}"),
+            boosting.BoostParams(
+                p.learning_rate, p.trees, p.max_depth, gamma=p.min_gain, l2=p.l2, row_share=p.row_share,
+                feature_share=p.feature_share, positive_weight=p.positive_weight, fold=p.checkpoint_interval, seed=p.seed,
+            ),
+        )
+        self._write(self.spark.createDataFrame([(run, p.trees)], "run string, trees int"), "boosted_run")
+
+    def _trees(self) -> DataFrame:
+        run = self._read("boosted_run").first()
+        return boosting.read_trees(self.spark, self._path(f"boosted/run={run['run']}"), run["trees"])
+
     def _models_id(self) -> str:
         """Names the models in use: the run each modelled type was fitted in."""
+        if self.params.trees.method == "histogram":
+            return self._read("boosted_run").first()["run"]
         fitted = propensity.read_manifest(self.spark, self._path("models")).select(TYPE, "run").collect()
         wanted = set(self._types())
         runs = sorted((r[TYPE], r["run"]) for r in fitted if r[TYPE] in wanted)

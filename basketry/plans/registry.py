@@ -11,8 +11,8 @@ from pyspark.sql.types import ArrayType, DateType, DoubleType, TimestampType
 
 from basketry.functions.lineage import fresh_path, staged
 from basketry.operators import (
-    calibration, catalog, factorization, features, monitoring, pairs, propensity, purchases, ranking, refresh,
-    segments,
+    boosting, calibration, catalog, factorization, features, monitoring, pairs, propensity, purchases, ranking,
+    refresh, segments,
 )
 from basketry.params import FEATURES, ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.checked_scores import co_purchase_scores, purchase_shares
@@ -34,6 +34,7 @@ LINE_QUERIES = frozenset((
 ))
 # Small models for the checks; the library's defaults are those of a full training run.
 CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none", parallelism=16)
+CHECK_BOOST = boosting.BoostParams(trees=2, max_depth=3)
 CHECK_FACTORS = FactorParams()
 # Every id the test tables can give a type: brand 1-25 and kind 1-6.
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
@@ -167,6 +168,18 @@ def _propensity(f: Flow) -> DataFrame:
     return propensity.propensity_scores(f.scoring_features, models)
 
 
+def _boosted(f: Flow) -> DataFrame:
+    """Trees of all shopping types, of the sampled training rows."""
+    training = staged(f.reactivation_features, "reactivation_features")
+    sampled = propensity.sample_rows(training, CHECK_TREES.train_share, CHECK_TREES.seed)
+    folder = fresh_path(training.sparkSession, "boosted")
+    return boosting.train_boosted(sampled, f.shopping_types(), folder, CHECK_BOOST)
+
+
+def _boosted_scores(f: Flow) -> DataFrame:
+    return boosting.boosted_scores(f.scoring_features, _boosted(f))
+
+
 def _importance(f: Flow) -> DataFrame:
     models, _ = _trained(f)
     return propensity.feature_importance(models, f.tables.sales_txn.sparkSession)
@@ -297,6 +310,8 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "impute_features": _imputed,
     "train_propensity": _manifest,
     "propensity_scores": _propensity,
+    "boosted_trees": _boosted,
+    "boosted_scores": _boosted_scores,
     "calibrate_scores": _calibrated,
     "calibrate_unbinned_scores": _calibrated_unbinned,
     "score_checkpoint": _score_checkpoint,

@@ -1,5 +1,7 @@
 """The four jobs, end to end with small models."""
 
+import dataclasses
+
 import pytest
 
 from basketry.functions.lineage import fresh_path
@@ -29,7 +31,10 @@ def test_pairs(spark, jobs):
     assert described.filter("focus_type IS NULL OR recomm_type IS NULL OR sku_rank < 1").count() == 0
 
 
-def test_train_and_score(spark, jobs):
+@pytest.mark.parametrize("method", ["histogram", "node"])
+def test_train_and_score(spark, folder, method):
+    params = dataclasses.replace(PARAMS, trees=dataclasses.replace(PARAMS.trees, method=method))
+    jobs = Jobs(spark, retail_tables(spark, folder), fresh_path(spark, "jobs"), params)
     trained = jobs.train()
     scored = jobs.score()
     assert trained.columns == scored.columns
