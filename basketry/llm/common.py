@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +26,29 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def beside(
+    df: DataFrame, ours: Sequence[str], compute: Callable[[DataFrame], DataFrame], inner: Sequence[str] = ()
+) -> DataFrame:
+    """The columns of df as they are and, behind them, the columns `ours` that compute(df) adds.
+
+    compute sees columns of df that have such a name, or one of `inner`, under another one; ours get underscores then.
+    """
+    names = {name.lower() for name in (*ours, *inner)}
+    away, renamed = {}, df
+    for column in df.columns:
+        if column.lower() in names:
+            away[column] = free_name(renamed, f"_own_{column}")
+            renamed = renamed.withColumnRenamed(column, away[column])
+    out = [F.col(f"`{away.get(c, c)}`").alias(c) for c in df.columns]
+    made = compute(renamed)
+    taken = df
+    for name in ours:
+        free = free_name(taken, name)
+        taken = taken.withColumn(free, F.lit(None))
+        out.append(F.col(name).alias(free))
+    return made.select(*out)
+
+
 def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], dict | None], schema: StructType) -> DataFrame:
     """Apply step to every Arrow batch; step returns the columns of the output rows, or None for no rows."""
     names = schema.fieldNames()

@@ -99,7 +99,7 @@ def queue_table(
     rows = [(k, n, share) for k, (n, share) in sorted(shares.items())]
     if remaining:
         # Sources without a target of their own get what the targets leave, or the least share.
-        rows.insert(0, (None, remaining, max(1 - sum(x[2] for x in rows), least / window if targets else 1e-6)))
+        rows.insert(0, (None, remaining, max(1 - sum(x[2] for x in rows), least / window)))
     return rows
 
 

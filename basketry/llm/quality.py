@@ -18,11 +18,12 @@ rows. Everything runs as SQL expressions, row by row, whatever the length of the
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import bound, read_table, spaced
+from basketry.llm.common import beside, bound, read_table, spaced
 
 # The threshold is -0.1 nats an n-gram: text is dropped if the raw corpus explains it clearly better.
 BUCKETS, TARGET_DOCS, THRESHOLD = 1 << 14, 20_000, -100_000
@@ -81,8 +82,16 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) < 4, zero).when(~distinct, zero).otherwise(windows(hashes))
 
 
+COUNTS = ("n_words", "word_chars", "hashes", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def base_counts(docs: DataFrame) -> DataFrame:
-    """The rows with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and `hashes` of their words."""
+    """The rows with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and `hashes` of their words. Of
+    columns of docs with these names, the counts get underscores."""
+    return beside(docs, COUNTS, _base_counts, inner=("_w",))
+
+
+def _base_counts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     zero = F.lit(0).cast("bigint")
@@ -134,14 +143,21 @@ def judge(
     docs: DataFrame, ratios: list[int], threshold: int = THRESHOLD, least_words: int = LEAST_WORDS,
     most_repeated: int = MOST_REPEATED,
 ) -> DataFrame:
-    """The rows with their base counts, base_failed, llr (millionths an n-gram, null without n-grams) and kept."""
+    """The rows with their base counts, base_failed, llr (millionths an n-gram, null without n-grams) and kept. Of
+    columns of docs with these names, ours get underscores."""
+    ours = (*(c for c in COUNTS if c != "hashes"), "base_failed", "llr", "kept")
+    compute = partial(_judge, ratios=ratios, threshold=threshold, least_words=least_words, most_repeated=most_repeated)
+    return beside(docs, ours, compute, inner=("hashes", "_w", "_g"))
+
+
+def _judge(docs: DataFrame, ratios: list[int], threshold: int, least_words: int, most_repeated: int) -> DataFrame:
     table = F.from_json(F.lit(str(ratios)), "array<int>")  # folded into one constant
     grams = bound(buckets(F.col("hashes"), len(ratios)), lambda b: F.struct(
         F.aggregate(b, F.lit(0).cast("bigint"), lambda total, x: total + F.get(table, x)).alias("total"),
         F.size(b).cast("bigint").alias("n"),
     ))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
-    scored = base_counts(docs).withColumn("_g", grams).drop("hashes")
+    scored = _base_counts(docs).withColumn("_g", grams).drop("hashes")
     return (
         scored.withColumn("base_failed", failed)
         .withColumn("llr", F.when(F.col("_g.n") > 0, F.col("_g.total") / F.col("_g.n")))

@@ -46,6 +46,21 @@ def test_quality_counts(spark):
     assert got == {i: base(t) for i, t in enumerate(TEXTS)}
 
 
+def test_quality_beside_clashing_names(spark):
+    names = ["n_words", "Hashes", "_w", "_g", "llr", "base_failed", "KEPT", "n_symbols", "_own_llr"]
+    plain = spark.createDataFrame([(1, "one two # three"), (2, None)], "doc_id int, text string")
+    docs = plain.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    judged, want = quality.judge(docs, [0] * 16, least_words=1), quality.judge(plain, [0] * 16, least_words=1)
+    assert judged.columns[: len(docs.columns)] == docs.columns
+    lowered = [c.lower() for c in judged.columns]
+    assert len(set(lowered)) == len(lowered) and len(judged.columns) == len(docs.columns) + len(want.columns) - 2
+    got = sorted(tuple(r) for r in judged.collect())
+    assert [r[2 + len(names):] for r in got] == [tuple(r)[2:] for r in sorted(want.collect())]
+    assert all(r[2 : 2 + len(names)] == tuple(f"own {n}" for n in names) for r in got)
+    counted = quality.base_counts(docs)
+    assert "hashes_" in counted.columns and "n_words_" in counted.columns
+
+
 def test_quality_tells_target_from_junk(spark):
     rng = random.Random(2)
     good = [" ".join(f"g{rng.randrange(15)}" for _ in range(80)) for _ in range(60)]

@@ -104,6 +104,14 @@ def test_packing_hits_the_targets(spark):
     assert sum(abs(m["a"] - 3072) <= 1 for m in full) >= len(full) - 1
 
 
+def test_rare_sources_are_not_cut_to_crumbs(spark):
+    rows = [(i, made(i, 3000), "en", "big", 1, "x", 0) for i in range(60)] + [(900, made(900, 500), "en", "rare", 1, "x", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    pieces = packing.pack_documents(docs, tokenizer_path(packing.TOKENIZER)).where("source = 'rare'").collect()
+    assert sum(p["length"] for p in pieces) == pieces[0]["doc_tokens"]
+    assert len(pieces) <= pieces[0]["doc_tokens"] / packing.LEAST + 2
+
+
 def test_packing_empty(empty):
     assert packing.pack_documents(empty, tokenizer_path(packing.TOKENIZER)).count() == 0
 
