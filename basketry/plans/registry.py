@@ -42,6 +42,8 @@ ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(
 DIGITS = {"base_transactions": 8, "refreshed_base_transactions": 8}
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
+# Sketches of this size hold the groups of the smaller test tables exactly.
+SKETCH, QUANTILES = 4096, (0.05, 0.25, 0.5, 0.75, 0.95)
 # A day in the middle of the tables, for runs that must not see what comes after it.
 PAST = dt.date(1999, 8, 1)
 # Six months and a day later: the window of six months up to it begins the day after PAST.
@@ -272,6 +274,15 @@ def _hits(f: Flow) -> DataFrame:
     return monitoring.pair_hits(staged(_recs(f), "recs"), f.customer_type_counts, f.region_of_customer)
 
 
+def _quantiles(f: Flow) -> DataFrame:
+    """Quantiles per price class of types, from sketches kept by day (the customer's id by seven) and merged."""
+    classes = _shares(f).select(
+        (F.col("pdm_prod_type_id") % 10).alias("pdm_prod_type_id"), F.pmod("customer_id", F.lit(7)).alias("day"), "p"
+    )
+    daily = staged(monitoring.score_sketches(classes, ["pdm_prod_type_id", "day"], SKETCH), "sketches")
+    return monitoring.sketch_quantiles(monitoring.merged_sketches(daily), QUANTILES)
+
+
 STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "sku_catalog": lambda f: f.sku_catalog,
     "types_per_level": lambda f: catalog.types_per_level(f.catalog_rows),
@@ -320,6 +331,8 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "top_types_per_customer": lambda f: segments.top_types_per_customer(_shares(f)),
     "nearest_centroid": _nearest,
     "cluster_customers": _clusters,
+    "cluster_sizes": lambda f: monitoring.cluster_sizes(_nearest(f)),
+    "score_quantiles": _quantiles,
     "score_distribution": lambda f: monitoring.score_distribution(_shares(f)),
     "calibration_curve": lambda f: calibration.calibration_curve(_binned(f)),
     "feature_drift": _drift,

@@ -189,6 +189,22 @@ def test_pooling_runs_first_changes_nothing():
     assert next(calibration.pooled((1, p) for p in parts))[1] == whole and len(whole) < 200
 
 
+def test_merged_sketches_keep_their_rank_error(spark):
+    scores = spark.range(60_000).select(
+        F.pmod("id", F.lit(3)).alias("pdm_prod_type_id"), F.pmod("id", F.lit(11)).alias("day"),
+        F.when(F.col("id") % 5 == 0, 0.25).otherwise(F.rand(4)).alias("p"),
+    ).union(spark.createDataFrame([(0, 1, None), (0, 1, float("nan"))], "t long, d long, p double"))
+    scores = staged(scores, "scores")
+    shares = (0.01, 0.1, 0.5, 0.9, 0.99)
+    merged = monitoring.merged_sketches(monitoring.score_sketches(scores, ["pdm_prod_type_id", "day"]))
+    for r in monitoring.sketch_quantiles(merged, shares).collect():
+        own = scores.filter((F.col("pdm_prod_type_id") == r.pdm_prod_type_id) & F.col("p").isNotNull() & ~F.isnan("p"))
+        n, below, upto = own.agg(
+            F.count(F.lit(1)), F.count_if(F.col("p") < r.p), F.count_if(F.col("p") <= r.p)).first()
+        assert r.n == n == 20_000
+        assert below / n - 0.03 <= r.share <= upto / n + 0.03
+
+
 def long_scores(spark, *data):
     return spark.createDataFrame(list(data), "customer_id bigint, pdm_prod_type_id bigint, p double")
 
