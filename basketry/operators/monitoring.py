@@ -148,3 +148,53 @@ def compare_groups(outcomes: DataFrame, group: str, outcome: str) -> DataFrame:
         F.avg(value).alias("mean"),
         (F.stddev_samp(value) / F.sqrt(F.count(F.lit(1)))).alias("std_error"),
     )
+
+
+# The distribution function of the Poisson law with mean 1 at 0, 1, 2, ...
+POISSON = (
+    0.367879441171, 0.735758882343, 0.919698602929, 0.981011843124, 0.996340153173, 0.999405815182, 0.999916758851,
+    0.999989750803, 0.999998874797,
+)
+
+
+def bootstrap_difference(
+    outcomes: DataFrame, group: str, outcome: str, arms: tuple, key: str = "customer_id", replicates: int = 200,
+    level: float = 0.95, seed: int = 42,
+) -> DataFrame:
+    """One row: difference of the second arm's mean outcome from the first one's, its bootstrap interval (low, high)
+    and whether that leaves out 0.
+
+    Every replicate gives a customer, not a row, a weight of the Poisson law with mean 1 from a hash of seed,
+    replicate and customer, so a customer's rows stay together and any partitioning gives the same weights. Rows are
+    summed per customer first; what is shuffled after that is a row per arm, replicate and task. Rows without a
+    customer or an outcome are left out, as are replicates in which an arm has no weight.
+    """
+    value = F.col(outcome).cast("double")
+    sums = (
+        outcomes.filter(F.col(key).isNotNull() & value.isNotNull() & F.col(group).isin(*arms))
+        .groupBy(key, F.col(group).alias("_arm")).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    )
+    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "_b", F.col(key).cast("string"))), 1, 8), 16, 10)
+    drawn = place.cast("double") / float(1 << 32)
+    weight = sum((F.when(drawn >= x, 1).otherwise(0) for x in POISSON), F.lit(0))
+    # Replicate 0 is the data themselves.
+    weighted = sums.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(replicates)))).withColumn(
+        "_w", F.when(F.col("_b") == 0, 1).otherwise(weight)
+    )
+    means = weighted.groupBy("_b").agg(*[
+        (F.sum(F.when(F.col("_arm") == arm, F.col("_w") * F.col("_s")))
+         / F.nullif(F.sum(F.when(F.col("_arm") == arm, F.col("_w") * F.col("_n"))), F.lit(0))).alias(name)
+        for arm, name in zip(arms, ("_first", "_second"), strict=True)
+    ])
+    difference = F.col("_second") - F.col("_first")
+    found = means.agg(
+        F.max(F.when(F.col("_b") == 0, difference)).alias("difference"),
+        F.sort_array(F.collect_list(F.when(F.col("_b") > 0, difference))).alias("_d"),  # `replicates` numbers
+    )
+
+    def rank(share: float):
+        return F.get("_d", F.greatest(F.ceil(F.lit(share) * F.size("_d")).cast("int"), F.lit(1)) - 1)
+
+    return found.select("difference", rank((1 - level) / 2).alias("low"), rank((1 + level) / 2).alias("high")).withColumn(
+        "differs", (F.col("low") > 0) | (F.col("high") < 0)
+    )

@@ -42,6 +42,7 @@ ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(
 DIGITS = {"base_transactions": 8, "refreshed_base_transactions": 8}
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
+REPLICATES = 100
 # Sketches of this size hold the groups of the smaller test tables exactly.
 SKETCH, QUANTILES = 4096, (0.05, 0.25, 0.5, 0.75, 0.95)
 # A day in the middle of the tables, for runs that must not see what comes after it.
@@ -339,6 +340,10 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "feature_importance": _importance,
     "coverage": lambda f: monitoring.coverage(_recs(f), f.sku_dimension),
     "pair_hits": _hits,
+    "bootstrap_difference": lambda f: monitoring.bootstrap_difference(
+        f.base_transactions.withColumn("arm", F.pmod("customer_id", F.lit(2))), "arm", "sku_price", (0, 1),
+        replicates=REPLICATES,
+    ),
     "compare_groups": lambda f: monitoring.compare_groups(
         f.base_transactions.withColumn("arm", F.pmod("customer_id", F.lit(2))), "arm", "sku_price"
     ),

@@ -205,6 +205,23 @@ def test_merged_sketches_keep_their_rank_error(spark):
         assert below / n - 0.03 <= r.share <= upto / n + 0.03
 
 
+def test_bootstrap_interval_covers_the_difference(spark):
+    covered = 0
+    for seed in range(12):
+        rng = random.Random(seed)
+        rows = []
+        for c in range(150):
+            level = rng.gauss(0, 1)  # a customer's rows go together, so rows alone would give too short an interval
+            rows += [(c, c % 2, level + rng.gauss(0, 0.1) + 0.5 * (c % 2)) for _ in range(1 + c % 9)]
+        df = spark.createDataFrame([*rows, (None, 1, 5.0), (1, 1, None), (2, 9, 99.0)], "customer_id long, arm long, v double")
+        got = monitoring.bootstrap_difference(df.repartition(1 + seed % 4), "arm", "v", (0, 1), replicates=150).first()
+        again = monitoring.bootstrap_difference(df.coalesce(1), "arm", "v", (0, 1), replicates=150).first()
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[:3], again[:3])) and got.low < got.difference < got.high
+        covered += got.low <= 0.5 <= got.high
+    assert covered >= 9
+    assert monitoring.bootstrap_difference(df.limit(0), "arm", "v", (0, 1)).first()[:3] == (None, None, None)
+
+
 def long_scores(spark, *data):
     return spark.createDataFrame(list(data), "customer_id bigint, pdm_prod_type_id bigint, p double")
 
