@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 from basketry.functions.expressions import month_window, unit_price
 from basketry.params import PairParams
+from basketry.sources.storage import MONTH, month_number
 
 
 def known_buyers(lines: DataFrame, xref: DataFrame, customers: DataFrame) -> DataFrame:
     """The lines with the id of their customer, for customers that are not purged.
 
     Lines meet the cross-reference first: they are cut to a window already, so only the transactions they name
-    are looked up by customer.
+    are looked up by customer. The customers' distinct ids are joined as rows: the optimizer would carry a semi join
+    below the first join, and move the whole cross-reference by customer.
     """
     owners = xref.filter(F.col("customer_id") > 0).withColumnRenamed("trans_id", "transaction_guid")
     current = customers.filter((F.col("customer_purge_ind") == "N") & (F.col("customer_id") > 0))
-    return lines.join(owners, "transaction_guid").join(current.select("customer_id"), "customer_id", "left_semi")
+    return lines.join(owners, "transaction_guid").join(current.select("customer_id").distinct(), "customer_id")
 
 
 def base_transactions(
@@ -34,10 +36,17 @@ def base_transactions(
 
     `days`, if given, tells the days wanted instead of the window.
 
+    Lines stored by month are read from the folders of the window's months only.
+
     Lines are deduplicated while they hold ids, price and units only; the wide text columns are joined to
     the distinct rows. Every column of `skus` is part of the result, so this equals deduplicating at the end.
     """
     booked = F.col("transaction_booked_date")
+    if MONTH in sales_line.columns and days is None:
+        sales_line = sales_line.filter(F.col(MONTH).between(
+            F.date_format(F.add_months(F.lit(params.as_of), -params.window_months), "yyyyMM").cast("int"),
+            month_number(params.as_of),
+        ))
     lines = sales_line.filter(
         (days(booked) if days else month_window(booked, params.as_of, params.window_months))
         & (F.col("concept_format_id") == params.concept_format_id)

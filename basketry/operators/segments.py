@@ -8,11 +8,13 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from basketry.functions.lineage import staged
 from basketry.params import ClusterParams
 
 TYPE = "pdm_prod_type_id"
@@ -53,19 +55,55 @@ def default_clusters(rows: int) -> int:
     return max(2, round(math.log10(rows))) if rows > 0 else 2
 
 
-def fit_clusters(wide: DataFrame, params: ClusterParams, key: str = "customer_id") -> PipelineModel:
-    """K-means over all columns but the key."""
+def _vectors(wide: DataFrame, params: ClusterParams, key: str) -> PipelineModel:
+    """All columns but the key as the vector that distances are measured in."""
     columns = [c for c in wide.columns if c != key]
     vectors = VectorAssembler(inputCols=columns, outputCol="_raw", handleInvalid="error")
     scaler = StandardScaler(
         inputCol="_raw", outputCol="_vector", withMean=params.standardize, withStd=params.standardize
     )
-    clusters = params.clusters or default_clusters(wide.count())
-    kmeans = KMeans(
-        k=clusters, maxIter=params.max_iter, seed=params.seed,
-        featuresCol="_vector", predictionCol="_cluster",
-    )
-    return Pipeline(stages=[vectors, scaler, kmeans]).fit(wide)
+    return Pipeline(stages=[vectors, scaler]).fit(wide)
+
+
+def _kmeans(clusters: int, params: ClusterParams, seed: int) -> KMeans:
+    return KMeans(k=clusters, maxIter=params.max_iter, seed=seed, featuresCol="_vector", predictionCol="_cluster")
+
+
+def cluster_choices(
+    wide: DataFrame, candidates: Sequence[int], params: ClusterParams, key: str = "customer_id"
+) -> list[tuple[int, int, float | None]]:
+    """(clusters, seed, silhouette) per number of clusters tried; None where the rows fall into one cluster.
+
+    The scaled vectors are written once. Of `params.starts` fits per number the one of least cost counts. The
+    silhouette (squared distances) needs each cluster's size, sums and squared norms only, no distances of pairs.
+    """
+    vectors = staged(_vectors(wide, params, key).transform(wide).select("_vector"), "cluster-vectors")
+    judge = ClusteringEvaluator(featuresCol="_vector", predictionCol="_cluster")
+    found = []
+    for clusters in sorted(set(candidates)):
+        seeds = range(params.seed, params.seed + params.starts)
+        fits = [(seed, _kmeans(clusters, params, seed).fit(vectors)) for seed in seeds]
+        seed, best = min(fits, key=lambda f: (f[1].summary.trainingCost, f[0]))
+        several = sum(size > 0 for size in best.summary.clusterSizes) > 1
+        found.append((clusters, seed, judge.evaluate(best.transform(vectors)) if several else None))
+    return found
+
+
+def best_choice(choices: Sequence[tuple[int, int, float | None]]) -> tuple[int, int]:
+    """(clusters, seed) of the largest silhouette, of equal ones the fewest clusters."""
+    known = [c for c in choices if c[2] is not None] or [(*c[:2], 0.0) for c in choices]
+    clusters, seed, _ = max(known, key=lambda c: (c[2], -c[0]))
+    return clusters, seed
+
+
+def fit_clusters(wide: DataFrame, params: ClusterParams, key: str = "customer_id") -> PipelineModel:
+    """K-means over all columns but the key, with as many clusters as the parameters say or choose."""
+    prepared = _vectors(wide, params, key)
+    if params.candidates:
+        clusters, seed = best_choice(cluster_choices(wide, params.candidates, params, key))
+    else:
+        clusters, seed = params.clusters or default_clusters(wide.count()), params.seed
+    return PipelineModel([*prepared.stages, _kmeans(clusters, params, seed).fit(prepared.transform(wide))])
 
 
 def assign_clusters(wide: DataFrame, model: PipelineModel) -> DataFrame:

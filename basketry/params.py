@@ -150,9 +150,18 @@ class TreeParams:
 @dataclass(frozen=True)
 class ClusterParams:
     """K-means over the score vectors; clusters=None takes log10 of the row count, 2 at least, which changes what
-    a cluster means as the table grows."""
+    a cluster means as the table grows. With candidates the number of them with the best silhouette is taken, each
+    fitted from `starts` seeds."""
 
     clusters: int | None = 4
     standardize: bool = True
     max_iter: int = 20
     seed: int = 42
+    candidates: tuple[int, ...] = ()
+    starts: int = 3
+
+    def __post_init__(self):
+        if any(k < 2 for k in self.candidates):
+            raise ValueError(f"clusters to choose from must be 2 at least: {self.candidates}")
+        if self.starts <= 0:
+            raise ValueError(f"starts must be positive: {self.starts}")

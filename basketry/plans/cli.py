@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from basketry.params import ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.jobs import JobParams, Jobs
+from basketry.sources.sinks import MODES
 from basketry.sources.tables import RetailTables, load_table
 
 
@@ -27,9 +28,18 @@ def _parser(description: str) -> argparse.ArgumentParser:
     parser.add_argument("--customers", help="table or path of the customers (customer_id) to score")
     parser.add_argument("--types", type=lambda text: [int(t) for t in text.split(",")], help="type ids to model")
     parser.add_argument("--skip-types", type=int, default=JobParams.skip_types, help="most frequent types left out")
+    parser.add_argument("--clusters-from", type=_numbers, default=(), help="numbers of clusters to choose from")
+    parser.add_argument("--training-limit", type=int, help="rows a trial run trains on, by customer id")
+    parser.add_argument("--scoring-limit", type=int, help="customers a trial run scores, by id")
+    parser.add_argument("--out-database", help="catalog database the results become tables of as well")
+    parser.add_argument("--if-exists", choices=tuple(MODES), default=JobParams.if_exists, help="for those tables")
     return parser
 
 
+def _numbers(text: str) -> tuple[int, ...]:
+    return tuple(int(t) for t in text.split(","))
+
+
 def _jobs(description: str, argv: list[str] | None) -> Jobs:
     return _made(description, _parser(description).parse_args(argv))
 
@@ -46,8 +56,12 @@ def _made(description: str, args: argparse.Namespace) -> Jobs:
         ReactivationParams(args.as_of),
         factors=FactorParams(min_support=args.min_support),
         trees=TreeParams(trees=args.trees, calibration=args.calibration),
-        clusters=ClusterParams(clusters=args.clusters),
+        clusters=ClusterParams(clusters=args.clusters, candidates=args.clusters_from),
         skip_types=args.skip_types,
+        training_limit=args.training_limit,
+        scoring_limit=args.scoring_limit,
+        database=args.out_database,
+        if_exists=args.if_exists,
     )
     listed = load_table(spark, args.customers) if args.customers else None
     return Jobs(spark, tables, args.out, params, listed, args.types)
@@ -65,6 +79,7 @@ def pair(argv: list[str] | None = None) -> None:
     jobs = _jobs("pair-products", argv)
     jobs.type_pairs()
     jobs.sku_pairs()
+    jobs.mined_reference()
 
 
 def refresh(argv: list[str] | None = None) -> None:

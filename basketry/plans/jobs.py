@@ -21,7 +21,7 @@ from basketry.params import (
 from basketry.plans.flow import Flow
 from basketry.session import tuned
 from basketry.sources.sinks import checkpoint_scores, finished_partitions, write_table
-from basketry.sources.tables import RetailTables, feature_rows
+from basketry.sources.tables import RetailTables, feature_rows, limited
 
 TYPE = "pdm_prod_type_id"
 
@@ -35,6 +35,12 @@ class JobParams:
     clusters: ClusterParams = field(default_factory=ClusterParams)
     skip_types: int = 1
     on_duplicate: str = "raise"
+    # Customers, by id, a trial run trains on and scores; None takes all.
+    training_limit: int | None = None
+    scoring_limit: int | None = None
+    # Results become tables of this database as well, written this way.
+    database: str | None = None
+    if_exists: str = "replace"
 
 
 class Jobs:
@@ -59,6 +65,13 @@ class Jobs:
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         return write_table(df, self._path(name), "replace")
 
+    def _result(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        """A result below `out`, which the next jobs read, and in the database if one is named."""
+        written = write_table(df, self._path(name), "replace", partition_by)
+        if self.params.database:
+            write_table(written, f"{self.params.database}.{name}", self.params.if_exists, partition_by)
+        return written
+
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._path(name))
 
@@ -72,7 +85,7 @@ class Jobs:
         factorization.save_models(models, self._path("factor_models"))
         scores = factorization.seed_scores(models, indexed, p.pairs.rank_limit)
         recs = f.recommendations(self._write(scores, "seed_scores"))
-        return write_table(recs, self._path("type_recommendations"), "replace", partition_by=["region"])
+        return self._result(recs, "type_recommendations", ["region"])
 
     def sku_pairs(self) -> DataFrame:
         """SKU pairs of the recommended type pairs, described and ranked. Needs type_pairs."""
@@ -106,12 +119,20 @@ class Jobs:
     def _described(self, mined: DataFrame, reference: DataFrame) -> DataFrame:
         f = self.flow
         described = pairs.sku_recommendations(mined, f.sku_dimension, reference)
-        return write_table(described, self._path("sku_recommendations"), "replace", partition_by=["region"])
+        return self._result(described, "sku_recommendations", ["region"])
+
+    def mined_reference(self) -> DataFrame:
+        """Type pairs with a pair of SKUs to show, from the described SKU pairs. Needs sku_pairs."""
+        found = ranking.type_pair_reference(self._read("sku_recommendations"), self.params.pairs.reference_ranks)
+        return self._result(found, "mined_type_reference")
 
     def train(self) -> DataFrame:
         """One model per product type, scores of the training customers, clusters over their scores."""
         p, f = self.params, self.flow
         training = f.reactivation_features
+        if p.training_limit is not None:
+            order = ["customer_id", *[c for c in training.columns if c != "customer_id"]]
+            training = self._write(limited(training, p.training_limit, order), "limited_training")
         types = f.shopping_types(p.skip_types)
         self._write(self.spark.createDataFrame([(t,) for t in types], f"{TYPE} bigint"), "shopping_types")
         if p.trees.method == "histogram":
@@ -132,7 +153,7 @@ class Jobs:
         wide = self._wide(self._calibrated(scores), "training_vectors")
         model = segments.fit_clusters(wide, p.clusters)
         model.write().overwrite().save(self._path("cluster_model"))
-        return self._write(segments.assign_clusters(wide, model), "training_clusters")
+        return self._result(segments.assign_clusters(wide, model), "training_clusters")
 
     def score(self) -> DataFrame:
         """Scores and clusters of at-risk and lapsed customers. Needs train.
@@ -140,10 +161,15 @@ class Jobs:
         Scores of finished types are kept from an interrupted run of the same day with the same models.
         """
         rows = feature_rows(self.flow.scoring_features, FEATURES)
-        scores = self._scored(rows, self._types(), f"scores_{self.params.returns.as_of:%Y%m%d}")
+        name, limit = f"scores_{self.params.returns.as_of:%Y%m%d}", self.params.scoring_limit
+        if limit is not None:
+            # Scores of a trial run are not those of the day.
+            name = f"{name}_first{limit}"
+            rows = self._write(limited(rows, limit, rows.columns), "limited_scoring")
+        scores = self._scored(rows, self._types(), name)
         wide = self._wide(self._calibrated(scores), "scoring_vectors")
         clusters = PipelineModel.load(self._path("cluster_model"))
-        return self._write(segments.assign_clusters(wide, clusters), "clusters")
+        return self._result(segments.assign_clusters(wide, clusters), "clusters")
 
     def _scored(self, rows: DataFrame, types: list[int], name: str, keep: Sequence[str] = ()) -> DataFrame:
         """Scores of the rows by all models, written once, a group of types at a time.
@@ -154,7 +180,7 @@ class Jobs:
         if not complete_folders(self.spark, self._path("boosted_run" if self.params.trees.method == "histogram" else "shopping_types")):
             raise ValueError("no model to score with: train first")
         checkpoint = self._path(f"{name}_{self._models_id()}")
-        done = finished_partitions(self.spark, checkpoint, TYPE)
+        done = [t for t in finished_partitions(self.spark, checkpoint, TYPE) if t is not None]
         if self.params.trees.method == "histogram":
             trees = self._trees().filter(~F.col(TYPE).isin(*done)) if done else self._trees()
             for group in boosting.type_groups(trees):
@@ -209,7 +235,7 @@ class Jobs:
 
     def _wide(self, scores: DataFrame, name: str) -> DataFrame:
         best = segments.top_types_per_customer(scores)
-        self._write(best, name.replace("vectors", "top_types"))
+        self._result(best, name.replace("vectors", "top_types"))
         return self._write(
             segments.pivot_scores(scores, self._types(), on_duplicate=self.params.on_duplicate), name
         )

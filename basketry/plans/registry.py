@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +13,15 @@ from pyspark.sql.types import ArrayType, DateType, DoubleType, TimestampType
 
 from basketry.functions.lineage import fresh_path, staged
 from basketry.operators import (
-    boosting, calibration, catalog, factorization, features, monitoring, pairs, propensity, purchases, ranking,
-    refresh, segments,
+    boosting, calibration, catalog, diversity, factorization, features, monitoring, pairs, propensity, purchases,
+    ranking, refresh, segments,
 )
 from basketry.params import FEATURES, ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.checked_scores import co_purchase_scores, purchase_shares
 from basketry.plans.flow import Flow
 from basketry.session import tuned
-from basketry.sources import sinks
+from basketry.sources import sinks, storage
+from basketry.sources.tables import RetailTables
 from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, RAW, raw, retail_tables, shop_rows
 from basketry.streaming import carts
 from basketry.streaming import events as streams
@@ -30,7 +33,7 @@ SHARED_STAGES = frozenset((
 ))
 # Queries that read the purchase lines twice.
 LINE_QUERIES = frozenset((
-    "sku_pairs", "sku_pairs_by_transaction", "sku_pair_customers", "sku_recommendations",
+    "sku_pairs", "sku_pairs_by_transaction", "sku_pair_customers", "sku_recommendations", "mined_type_reference",
 ))
 # Small models for the checks; the library's defaults are those of a full training run.
 CHECK_TREES = TreeParams(trees=2, max_depth=3, calibration="none", parallelism=16)
@@ -39,9 +42,12 @@ CHECK_FACTORS = FactorParams()
 # Every id the test tables can give a type: brand 1-25 and kind 1-6.
 ALL_TYPES = tuple(brand * 10 + kind for brand in range(1, 26) for kind in range(1, 7))
 # Cents divided by whole units can end in a five at the seventh digit, where engines round differently.
-DIGITS = {"base_transactions": 8, "refreshed_base_transactions": 8}
+DIGITS = {"base_transactions": 8, "refreshed_base_transactions": 8, "stored_base_transactions": 8}
 LOOKUP = {"product_id": 21, "region": "Midwest", "top_n": 5}
 CENTRES = 3
+CLUSTERS_TRIED = (2, 3, 4, 5)
+# Buckets of the stored sales, and the months of the year whose sales one query asks for.
+BUCKETS, SEASON = 4, (11, 12)
 REPLICATES = 100
 # Sketches of this size hold the groups of the smaller test tables exactly.
 SKETCH, QUANTILES = 4096, (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -141,6 +147,11 @@ def _sku_recommendations(f: Flow) -> DataFrame:
     return pairs.sku_recommendations(mined, f.sku_dimension, reference)
 
 
+def _mined_reference(f: Flow) -> DataFrame:
+    described = staged(_sku_recommendations(f), "sku_recommendations")
+    return ranking.type_pair_reference(described, f.pairs.reference_ranks)
+
+
 def _als_scores(f: Flow) -> DataFrame:
     indexed = factorization.indexed_ratings(f.regional_ratings, f.surrogate_ids)
     models = factorization.fit_regional_als(indexed, f.pairs.regions, CHECK_FACTORS)
@@ -265,6 +276,15 @@ def _clusters(f: Flow) -> DataFrame:
     return segments.assign_clusters(wide, segments.fit_clusters(wide, ClusterParams()))
 
 
+def _choices(f: Flow) -> DataFrame:
+    wide = staged(_filled(f), "wide")
+    params = ClusterParams(candidates=CLUSTERS_TRIED, starts=1)
+    choices = segments.cluster_choices(wide, params.candidates, params)
+    best = segments.best_choice(choices)
+    rows = [(clusters, silhouette, (clusters, seed) == best) for clusters, seed, silhouette in choices]
+    return wide.sparkSession.createDataFrame(rows, "clusters bigint, silhouette double, chosen boolean")
+
+
 def _drift(f: Flow) -> DataFrame:
     before = features.impute_features(f.reactivation_features)
     after = features.impute_features(f.scoring_features)
@@ -304,6 +324,7 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "recommend_types_als": _als_recs,
     "get_recommendations": lambda f: ranking.get_recommendations(_recs(f), **LOOKUP),
     "type_pair_reference": _reference,
+    "mined_type_reference": _mined_reference,
     "sku_pairs": _sku_pairs,
     "sku_pairs_by_transaction": _sku_pairs_by_transaction,
     "sku_pair_customers": _sku_pair_customers,
@@ -332,6 +353,7 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "top_types_per_customer": lambda f: segments.top_types_per_customer(_shares(f)),
     "nearest_centroid": _nearest,
     "cluster_customers": _clusters,
+    "cluster_choices": _choices,
     "cluster_sizes": lambda f: monitoring.cluster_sizes(_nearest(f)),
     "score_quantiles": _quantiles,
     "score_distribution": lambda f: monitoring.score_distribution(_shares(f)),
@@ -339,6 +361,8 @@ STAGES: dict[str, Callable[[Flow], DataFrame]] = {
     "feature_drift": _drift,
     "feature_importance": _importance,
     "coverage": lambda f: monitoring.coverage(_recs(f), f.sku_dimension),
+    "region_diversity": lambda f: diversity.region_diversity(staged(_recs(f), "recs"), f.sku_dimension),
+    "type_paths": lambda f: diversity.type_paths(f.sku_dimension),
     "pair_hits": _hits,
     "bootstrap_difference": lambda f: monitoring.bootstrap_difference(
         f.base_transactions.withColumn("arm", F.pmod("customer_id", F.lit(2))), "arm", "sku_price", (0, 1),
@@ -357,6 +381,46 @@ def _later_hits(spark: SparkSession, folder: str) -> DataFrame:
     return monitoring.later_hits(recs, later.customer_type_counts, later.region_of_customer)
 
 
+@contextmanager
+def stored_sales(spark: SparkSession, folder: str) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Sales lines and the customers of transactions as bucketed tables, which leave the catalog afterwards."""
+    tables, run = retail_tables(spark, folder), uuid.uuid4().hex
+    names = [f"{name}_{run}" for name in ("sales_line", "customer_txn_xref")]
+    try:
+        yield (
+            storage.store_lines(tables.sales_line, names[0], BUCKETS, fresh_path(spark, names[0])),
+            storage.store_owners(tables.customer_txn_xref, names[1], BUCKETS, fresh_path(spark, names[1])),
+        )
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def stored_base(spark: SparkSession, folder: str, lines: DataFrame, xref: DataFrame) -> DataFrame:
+    """Purchases of the window from stored sales."""
+    others = retail_tables(spark, folder)
+    stored = {"sales_line": lines, "customer_txn_xref": xref}
+    tables = RetailTables(lambda name: stored[name] if name in stored else getattr(others, name))
+    return Flow(tables, PairParams(AS_OF), ReactivationParams(AS_OF)).base_transactions
+
+
+def _stored_base(spark: SparkSession, folder: str) -> DataFrame:
+    with stored_sales(spark, folder) as (lines, xref):
+        return staged(stored_base(spark, folder, lines, xref), "stored_base")
+
+
+def season_months(lines: DataFrame) -> DataFrame:
+    """The season's months that have sales, from the calendar of stored months."""
+    calendar = staged(lines.select(storage.MONTH).distinct(), "calendar")
+    return calendar.filter((F.col(storage.MONTH) % 100).isin(*SEASON))
+
+
+def _seasonal(spark: SparkSession, folder: str) -> DataFrame:
+    with stored_sales(spark, folder) as (lines, xref):
+        owned = storage.owned_lines(lines, xref, season_months(lines))
+        return staged(storage.monthly_buyers(owned), "seasonal")
+
+
 def window_state(spark: SparkSession, folder: str, day: dt.date) -> tuple[refresh.WindowState, DataFrame]:
     """Written stages of a day's run, and its type pairs."""
     f = flow(spark, folder, as_of=day)
@@ -459,6 +523,8 @@ EVENT_STAGES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cart_recommendations": _carts,
     "stream_session_pairs": _streamed_session_pairs,
     "stream_cart_recommendations": _streamed_carts,
+    "stored_base_transactions": _stored_base,
+    "stored_season_buyers": _seasonal,
     "refreshed_base_transactions": lambda spark, folder: _refreshed(spark, folder).base,
     "refreshed_type_counts": lambda spark, folder: refresh.type_counts(_refreshed(spark, folder).items),
     "refreshed_regions": lambda spark, folder: _refreshed(spark, folder).regions,

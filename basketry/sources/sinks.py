@@ -32,20 +32,37 @@ def write_table(
     return df.sparkSession.table(table)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str) -> DataFrame:
-    """Replace a table with one bucketed and sorted by the key later joins use."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, key: str, partition_by: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
+    """Replace a table with one bucketed and sorted by the key later joins use, below `path` if given.
+
+    Rows are dealt out by the key as the buckets are, so a bucket is one file per partition, not one per task. All
+    rows of a key share a bucket: choose a key without hot values.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
-def finished_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
-    """Values of the partition column already written below the path, in order, from the names of its folders."""
+# Fixed value: the folder of rows without a value in the partition column.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def finished_partitions(spark: SparkSession, path: str, column: str) -> list[int | None]:
+    """Values of the partition column already written below the path, in order, from the names of its folders; None
+    for the rows without a value, at the end."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(place):
         return []
     names = [entry.getPath().getName() for entry in files.listStatus(place)]
-    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{column}="))
+    values = [name.partition("=")[2] for name in names if name.startswith(f"{column}=")]
+    return sorted(int(v) for v in values if v != NO_VALUE) + [None] * (NO_VALUE in values)
 
 
 def checkpoint_scores(scores: DataFrame, path: str, column: str = "pdm_prod_type_id") -> DataFrame:
@@ -57,7 +74,10 @@ def checkpoint_scores(scores: DataFrame, path: str, column: str = "pdm_prod_type
     """
     spark = scores.sparkSession
     done = finished_partitions(spark, path, column)  # at most one value per modelled type
-    todo = scores.filter(~F.col(column).isin(done)) if done else scores
+    wanted = F.col(column)
+    todo = scores.filter(~F.coalesce(wanted.isin([v for v in done if v is not None]), F.lit(False)))
+    if None in done:
+        todo = todo.filter(wanted.isNotNull())
     (
         todo.hint("rebalance", F.col(column))
         .write.mode("overwrite")

@@ -50,6 +50,8 @@ INPUTS = {
     ),
     "life_stage_history": ("customer_guid", "lifestage_event", "lifestage_date"),
 }
+# Partition columns that a stored input may have besides.
+PARTITIONS = {"sales_line": ("booked_month",)}
 
 
 class RetailTables:
@@ -63,7 +65,9 @@ class RetailTables:
         if name not in INPUTS:
             raise AttributeError(name)
         if name not in self._open:
-            self._open[name] = self._opener(name).select(*INPUTS[name])
+            found = self._opener(name)
+            pruning = [c for c in PARTITIONS.get(name, ()) if c in found.columns]
+            self._open[name] = found.select(*INPUTS[name], *pruning)
         return self._open[name]
 
     @classmethod
@@ -82,7 +86,11 @@ def load_table(
     order_by: Sequence[str | Column] = (),
 ) -> DataFrame:
     """A table by name or Parquet path. A limit needs an order so that a rerun gives the same rows."""
-    df = spark.read.parquet(table) if "/" in table else spark.table(table)
+    return limited(spark.read.parquet(table) if "/" in table else spark.table(table), limit, order_by)
+
+
+def limited(df: DataFrame, limit: int | None, order_by: Sequence[str | Column]) -> DataFrame:
+    """The first rows in an order that a rerun repeats; all rows without a limit."""
     if limit is None:
         return df
     if not order_by:

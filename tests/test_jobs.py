@@ -29,6 +29,8 @@ def test_pairs(spark, jobs):
     assert recs.filter("rn > 10 or focus_pdm_prod_type_id = recomm_pdm_prod_type_id").count() == 0
     described = jobs.sku_pairs()
     assert described.filter("focus_type IS NULL OR recomm_type IS NULL OR sku_rank < 1").count() == 0
+    kept = jobs.mined_reference().filter("product_type_rank > 0")
+    assert 0 < kept.count() <= spark.read.parquet(f"{jobs.out}/type_pair_reference").filter("product_type_rank > 0").count()
 
 
 @pytest.mark.parametrize("method", ["histogram", "node"])
@@ -50,3 +52,24 @@ def test_train_and_score(spark, folder, method):
     assert "raw_p" in best.columns
     # A second run of the day keeps the written scores.
     assert jobs.score().count() == n_scored
+
+
+def test_trial_run_into_a_database(spark, folder, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS results LOCATION '{tmp_path}'")
+    try:
+        params = dataclasses.replace(
+            PARAMS, training_limit=40, scoring_limit=6, database="results",
+            clusters=ClusterParams(candidates=(2, 3), starts=1),
+        )
+        jobs = Jobs(spark, retail_tables(spark, folder), fresh_path(spark, "jobs"), params)
+        jobs.train()
+        assert spark.read.parquet(f"{jobs.out}/limited_training").count() == 40
+        scored = jobs.score()
+        customers = spark.read.parquet(f"{jobs.out}/scoring_customers").select("customer_id").distinct()
+        first = sorted(r["customer_id"] for r in customers.collect())[:6]
+        assert sorted(r["customer_id"] for r in scored.collect()) == first
+        assert spark.table("results.clusters").count() == 6
+        assert spark.table("results.training_clusters").columns[:2] == ["CENTROID_ID", "customer_id"]
+        assert spark.table("results.scoring_top_types").count() > 0
+    finally:
+        spark.sql("DROP DATABASE results CASCADE")
