@@ -26,7 +26,8 @@ BLOCK, PART = 1024, 1024
 
 
 def numbered_turns(turns: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(conv_id, role, text, place, a, b): turns numbered from 1, with the rolling hashes of the prefixes."""
+    """(conv_id, role, text, place, n_turns, a, b): turns numbered from 1 among the conversation's n_turns, with the
+    rolling hashes of the prefixes."""
     rows = turns.where("conv_id is not null").select(
         "conv_id", "turn", "role", "text",
         F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))).cast("bigint").alias("block"),
@@ -36,12 +37,15 @@ def numbered_turns(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = rows.withColumn("at", F.row_number().over(inside))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"))
-    starts = sizes.select("conv_id", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    starts = sizes.select(
+        "conv_id", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
+        F.sum("n").over(Window.partitionBy("conv_id")).alias("n_turns"),
+    )
     rows = rows.join(starts, ["conv_id", "block"]).withColumn("place", F.col("start") + F.col("at"))
     # Nulls are told from empty strings by flags.
     parts = [F.col("place"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")]
     rows = staged(
-        rows.select("conv_id", "block", "role", "text", "place",
+        rows.select("conv_id", "block", "role", "text", "place", "n_turns",
                     F.xxhash64(*parts).alias("x"), F.xxhash64(F.lit("second"), *parts).alias("y")), "turns"
     )
     sums = rows.groupBy("conv_id", "block").agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
@@ -50,21 +54,17 @@ def numbered_turns(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     ])
     running = Window.partitionBy("conv_id", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     return rows.join(earlier, ["conv_id", "block"]).select(
-        "conv_id", "role", "text", "place",
+        "conv_id", "role", "text", "place", "n_turns",
         *[F.bit_xor(c).over(running).bitwiseXOR(F.col(f"{c}0")).alias(h) for c, h in (("x", "a"), ("y", "b"))],
     )
 
 
 def maximal_conversations(prefixes: DataFrame) -> DataFrame:
     """(conv_id, n_turns) of the conversations that no longer one begins with, one of equal ones, from
-    (conv_id, place, a, b), a row for every prefix."""
-    wholes = prefixes.groupBy("conv_id").agg(F.max(F.struct("place", "a", "b")).alias("w"))
-    wholes = wholes.groupBy("w").agg(F.min("conv_id").alias("conv_id"))
-    wholes = staged(wholes.select("conv_id", "w.place", "w.a", "w.b"), "wholes")
-    # A proper prefix: the same hashes in a conversation that goes on.
-    longer = prefixes.select("conv_id", (F.col("place") - 1).alias("place")).where("place > 0").join(
-        prefixes.select("conv_id", "place", "a", "b"), ["conv_id", "place"]
-    ).select("place", "a", "b").distinct()
+    (conv_id, place, n_turns, a, b), a row for every prefix."""
+    whole = F.col("place") == F.col("n_turns")
+    wholes = prefixes.where(whole).groupBy("place", "a", "b").agg(F.min("conv_id").alias("conv_id"))
+    longer = prefixes.where(~whole).select("place", "a", "b").distinct()
     return wholes.join(longer, ["place", "a", "b"], "left_anti").select("conv_id", F.col("place").alias("n_turns"))
 
 
@@ -85,8 +85,8 @@ def render(turns: DataFrame, part: int = PART) -> DataFrame:
 def format_chats(turns: DataFrame, block: int = BLOCK, part: int = PART) -> DataFrame:
     """(conv_id, n_turns, part, text) of the maximal conversations in turns (conv_id, turn, role, text)."""
     numbered = staged(numbered_turns(turns, block), "prefixes")
-    kept = staged(maximal_conversations(numbered.select("conv_id", "place", "a", "b")), "maximal")
-    return render(numbered.join(kept, "conv_id"), part)
+    kept = staged(maximal_conversations(numbered.select("conv_id", "place", "n_turns", "a", "b")), "maximal")
+    return render(numbered.join(kept.select("conv_id"), "conv_id"), part)
 
 
 def op10_chats(spark: SparkSession, folder: str) -> DataFrame:

@@ -190,9 +190,11 @@ class LicenseIndex:
         for match in sorted(found, key=lambda m: (m[0], -m[1], m[3])):
             if not any(m[0] == match[0] and m[3] < match[4] and match[3] < m[4] for m in best.values()):
                 best[match[0], match[3]] = match
-        spans = [m.span() for m in _WORD.finditer(text)]
-        if len(spans) != len(words_of(text)):  # lower-casing split or joined letters
-            spans = [m.span() for m in _WORD.finditer(text.lower())]
+        lowered = text.lower()
+        spans = [m.span() for m in _WORD.finditer(lowered)]
+        if len(lowered) != len(text):  # letters that lower-casing writes as several
+            origin = [i for i, c in enumerate(text) for _ in c.lower()]
+            spans = [(origin[first], origin[end - 1] + 1) for first, end in spans]
         return [(*m, spans[m[3]][0], spans[m[4] - 1][1]) for m in sorted(best.values())]
 
 

@@ -522,6 +522,14 @@ def test_license_spans(spark, odd, empty):
     assert licenses.scan_licenses(docs, templates.where("false")).count() == 0
 
 
+def test_license_spans_where_lower_case_is_longer():
+    index = licenses.LicenseIndex(list(licenses.NOTICES))
+    for before in ("İa İa İa ", "İ", "ΑΣ ẞ ", "", "x" * 70_000 + " İ "):
+        text = before + "Released under the MIT License. More"
+        found = [m for m in index.scan(text, 0.8) if index.names[m[0]] == "mit"]
+        assert [text[m[-2]:m[-1]] for m in found] == ["Released under the MIT License"]
+
+
 def test_winnowing_keeps_a_gram_of_every_window():
     rng = np.random.default_rng(5)
     hashes = rng.integers(0, 1000, 400).astype(np.uint64)
