@@ -58,12 +58,12 @@ def test_trial_run_into_a_database(spark, folder, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS results LOCATION '{tmp_path}'")
     try:
         params = dataclasses.replace(
-            PARAMS, training_limit=40, scoring_limit=6, database="results",
+            PARAMS, training_limit=5, scoring_limit=6, database="results",
             clusters=ClusterParams(candidates=(2, 3), starts=1),
         )
         jobs = Jobs(spark, retail_tables(spark, folder), fresh_path(spark, "jobs"), params)
         jobs.train()
-        assert spark.read.parquet(f"{jobs.out}/limited_training").count() == 40
+        assert spark.read.parquet(f"{jobs.out}/limited_training").count() == 5
         scored = jobs.score()
         customers = spark.read.parquet(f"{jobs.out}/scoring_customers").select("customer_id").distinct()
         first = sorted(r["customer_id"] for r in customers.collect())[:6]
