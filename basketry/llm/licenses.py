@@ -5,12 +5,14 @@ Words are runs of letters and digits, lower case. Every template's k-word grams
 with a template contain a kept gram. The kept grams form an inverted index from hash to (template, place). A
 document's grams are looked up there; hits of one template on nearby diagonals are a candidate region. The region
 is aligned with the template in a band around the diagonals of its hits (local alignment: match 2, mismatch and
-gap -1). Reported are the template's words matched, their share (coverage) and the span in the document, in words
-and in characters.
+gap -1). The band is as wide as the words that the coverage lets a match leave out, so no such gap leaves it.
+Reported are the template's words matched, their share (coverage) and the span in the document, in words and in
+characters.
 
 Null, empty and blank texts match nothing. Templates shorter than k words are indexed as one gram of all their
 words. Equal or overlapping templates each report their own match. Repeated rows are scanned each; an empty table
-gives no matches. The index is bounded by the templates, which are fetched in blocks of BLOCK templates.
+gives no matches. Of docs only doc_id and text are read, so other columns may have any name. Texts of any length are
+scanned whole; a stretch with too few of a template's words to reach the coverage is not aligned. The index is bounded by the templates, which are fetched in blocks of BLOCK templates.
 """
 
 from __future__ import annotations
@@ -26,10 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from basketry.llm.common import read_table
+from basketry.llm.license_texts import TEXTS
 
 GRAM, WINDOW, BAND, COVERAGE, BLOCK = 3, 3, 8, 0.8, 2000
 _WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x100000001B3)
+_ONE = 1 << 32  # a score of one beside counts of words
 # The usual short notices of public licenses.
 NOTICES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -76,31 +80,41 @@ def winnowed(hashes: np.ndarray, window: int) -> list[int]:
 
 def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """(matched, first, end): the best local alignment with places in words minus places in the template from low
-    to high; the template words matched and the span of words, first == end if nothing matches."""
-    width = high - low + 1
-    empty = (0, 0, 0, 0)  # score, matched, first, end
-    before = [empty] * width
-    best = empty
+    to high; the template words matched and the span of words, first == end if nothing matches.
+
+    A cell's value is its score and, for equal scores, the template words matched; a row of the band is made at once.
+    """
+    at = np.arange(high - low + 2)
+    before, first, end = (np.zeros(len(at), np.int64) for _ in range(3))  # the last cell is beside the band: empty
+    best = (0, 0, 0)
+    top = _ONE - 1
     for i, word in enumerate(template.tolist()):
-        row = [empty] * width
-        for d in range(width):
-            j = i + low + d
-            if not 0 <= j < len(words):
-                continue
-            same = word == words[j]
-            score, matched, first, _ = before[d]
-            options = [(score + (2 if same else -1), matched + same, first if score else j, j + 1 if same else before[d][3])]
-            if d + 1 < width and before[d + 1][0]:
-                options.append((before[d + 1][0] - 1, *before[d + 1][1:]))
-            if d and row[d - 1][0]:
-                options.append((row[d - 1][0] - 1, *row[d - 1][1:]))
-            top = max(options, key=lambda o: o[:2])
-            if top[0] > 0:
-                row[d] = top
-                if top[:2] > best[:2]:
-                    best = top
-        before = row
-    return best[1], best[2], best[3]
+        left, right = max(0, -(i + low)), min(len(at) - 1, len(words) - i - low)
+        value, starts, ends = (np.zeros(len(at), np.int64) for _ in range(3))
+        if left < right:
+            own, above = slice(left, right), slice(left + 1, right + 1)
+            places = at[own] + (i + low)
+            same = words[places] == word
+            cells = before[own] + np.where(same, 2 * _ONE + 1, -_ONE)
+            begins = np.where(before[own] >= _ONE, first[own], places)
+            stops = np.where(same, places + 1, end[own])
+            skipped = np.where(before[above] >= _ONE, before[above] - _ONE, 0)
+            other = skipped > cells
+            cells = np.maximum(np.where(other, skipped, cells), 0)
+            begins, stops = np.where(other, first[above], begins), np.where(other, end[above], stops)
+            # Skipped words of the document: a cell passes its value on to the right, less one for each step.
+            cells[cells < _ONE] = 0
+            passed = np.maximum.accumulate(cells + at[own] * _ONE)
+            source = np.maximum.accumulate(np.where(cells + at[own] * _ONE == passed, at[own] - left, 0))
+            cells = passed - at[own] * _ONE
+            cells[cells < _ONE] = 0
+            value[own], starts[own], ends[own] = cells, begins[source], stops[source]
+            most = int(cells.argmax())
+            if cells[most] > top:
+                top = int(cells[most])
+                best = (top % _ONE, int(begins[source[most]]), int(stops[source[most]]))
+        before, first, end = value, starts, ends
+    return best
 
 
 class LicenseIndex:
@@ -123,6 +137,7 @@ class LicenseIndex:
             self.names.append(name)
             self.words.append(ids)
         self.keys = np.array(sorted(self.index), np.uint64)
+        self.bags = [np.bincount(ids, minlength=len(self.numbers) + 1) for ids in self.words]
 
     def hits(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
         """(template, place in the template, place in the document) of the document's grams in the index."""
@@ -142,6 +157,10 @@ class LicenseIndex:
                     found.append((template, place, int(whole[x])))
         return found
 
+    def width(self, template: int, coverage: float) -> int:
+        """Half the template's band: as many words as may be left out of it, at least the given band."""
+        return max(self.band, int((1 - coverage) * len(self.words[template])))
+
     def scan(self, text: str | None, coverage: float) -> list[tuple[int, int, float, int, int, int, int]]:
         """(template, matched, coverage, first word, end word, first character, end character) of the matches."""
         words = words_of(text)
@@ -153,18 +172,18 @@ class LicenseIndex:
         for template, place, at in sorted(self.hits(ids), key=lambda h: (h[0], h[2] - h[1])):
             start, some = at - place, regions[template]
             # Hits that begin their template at nearby words are one region.
-            if some and start - some[-1][1] <= self.band:
+            if some and start - some[-1][1] <= self.width(template, coverage):
                 some[-1][1] = start
             else:
                 some.append([start, start])
         found = []
         for template, some in regions.items():
-            own = self.words[template]
+            own, band = self.words[template], self.width(template, coverage)
             for low, high in some:
-                for first_start in range(low, high + 1, self.band + 1):
-                    last = min(high, first_start + self.band)
-                    begin, stop = max(0, first_start - 2 * self.band), last + len(own) + 2 * self.band
-                    found += self._aligned(template, ids, begin, stop, first_start - self.band, last + self.band, coverage)
+                for first_start in range(low, high + 1, band + 1):
+                    last = min(high, first_start + band)
+                    begin, stop = max(0, first_start - 2 * band), last + len(own) + 2 * band
+                    found += self._aligned(template, ids, begin, stop, first_start - band, last + band, coverage)
         return self._placed(text, found)
 
     def _aligned(
@@ -177,6 +196,10 @@ class LicenseIndex:
             begin, stop = open_.pop()
             if stop - begin < coverage * len(own):
                 continue
+            # No more words can match than the stretch has of the template's.
+            there = np.bincount(ids[begin:stop], minlength=len(self.numbers) + 1)[:len(self.numbers) + 1]
+            if np.minimum(there, self.bags[template]).sum() < coverage * len(own):
+                continue
             matched, first, end = align(own, ids[begin:stop], low - begin, high - begin)
             if matched >= coverage * len(own) and end > first:
                 found.append((template, matched, matched / len(own), begin + first, begin + end))
@@ -238,8 +261,15 @@ def scan_licenses(
     return found
 
 
-def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    templates = spark.createDataFrame(list(NOTICES), "template string, text string")
+def known_templates(spark: SparkSession) -> DataFrame:
+    """(template, text) of the short notices and the full texts of public licenses."""
+    return spark.createDataFrame([*NOTICES, *TEXTS], "template string, text string")
+
+
+def op1_licenses(spark: SparkSession, folder: str, templates: DataFrame | None = None) -> DataFrame:
+    """Matches in documents of the given templates, by default the known ones."""
+    if templates is None:
+        templates = known_templates(spark)
     return scan_licenses(read_table(spark, folder, "documents"), templates)
 
 

@@ -530,6 +530,65 @@ def test_license_spans_where_lower_case_is_longer():
         assert [text[m[-2]:m[-1]] for m in found] == ["Released under the MIT License"]
 
 
+def unbanded(template, words):
+    """Most (score, matched words) of any local alignment: match 2, mismatch and gap -1."""
+    before = [(0, 0)] * (len(words) + 1)
+    best = (0, 0)
+    for own in template:
+        row = [(0, 0)]
+        for j, word in enumerate(words):
+            same = own == word
+            cell = max((before[j][0] + (2 if same else -1), before[j][1] + same),
+                       (before[j + 1][0] - 1, before[j + 1][1]), (row[j][0] - 1, row[j][1]))
+            row.append(cell if cell[0] > 0 else (0, 0))
+        best = max(best, *row)
+        before = row
+    return best
+
+
+def test_band_over_everything_is_the_unbanded_alignment():
+    rng = np.random.default_rng(11)
+    for _ in range(150):
+        template, words = rng.integers(1, 6, rng.integers(1, 14)), rng.integers(0, 6, rng.integers(1, 24))
+        matched, first, end = licenses.align(template, words, -len(template), len(words))
+        assert matched == unbanded(template.tolist(), words.tolist())[1]
+        assert matched <= end - first <= len(words)
+
+
+def test_licenses_against_unbanded_alignment_of_all_templates():
+    """Texts with up to one word in twelve changed, dropped or put in: the scan reports the templates that reach the
+    coverage without a band, and no others."""
+    templates = [*licenses.NOTICES, *licenses.TEXTS]
+    index = licenses.LicenseIndex(templates)
+    rng = random.Random(3)
+    for name, text in templates:
+        words = licenses.words_of(text)
+        for at in reversed(range(rng.randrange(3, 12), len(words) - 3, 12)):
+            words[at:at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+        document = made(rng.randrange(99), 30).split() + words + made(rng.randrange(99), 30).split()
+        got = {index.names[m[0]]: m[1] for m in sorted(index.scan(" ".join(document), 0.8), key=lambda m: m[1])}
+        want = {}
+        for other, own in templates:
+            own = licenses.words_of(own)
+            # The alignment of another license's text is left out where too few of its words are there.
+            if sum((Counter(own) & Counter(document)).values()) >= 0.8 * len(own):
+                matched = unbanded(own, document)[1]
+                if matched >= 0.8 * len(own):
+                    want[other] = matched
+        assert name in want and got == want, name
+
+
+def test_licenses_in_a_very_long_text():
+    index = licenses.LicenseIndex([*licenses.NOTICES, *licenses.TEXTS])
+    mit = dict(licenses.TEXTS)["mit-text"]
+    text = " ".join([made(1, 150_000), mit, made(2, 150_000), mit, "Permission is hereby granted, free of charge. " * 500])
+    start = time.perf_counter()
+    found = [m for m in index.scan(text, 0.8) if index.names[m[0]] == "mit-text"]
+    assert [m[2] for m in found] == [1.0, 1.0] and time.perf_counter() - start < 20
+    for m in found:
+        assert licenses.words_of(text[m[-2]:m[-1]]) == licenses.words_of(mit)
+
+
 def test_winnowing_keeps_a_gram_of_every_window():
     rng = np.random.default_rng(5)
     hashes = rng.integers(0, 1000, 400).astype(np.uint64)
