@@ -3,12 +3,14 @@
 Every turn gets a hash of its place, role and text; the rolling hash of a prefix is the xor of its turns' hashes,
 kept twice with independent hashes (128 bits). A conversation is a snapshot of a longer one if its whole hash is
 the rolling hash of as many first turns there. An anti-join against those prefixes leaves the maximal
-conversations; of equal ones the smallest conv_id stays. As xor has no order, the turns of a conversation are
-numbered and summed up in blocks of BLOCK turn numbers, so no task needs a whole conversation.
+conversations; of equal ones the smallest conv_id stays. All turns are sorted by range, repeated ones too, so a long
+conversation is cut into blocks, the ranges, whatever its turn numbers are. As xor has no order, blocks are numbered
+and summed up by themselves, and no task needs a whole conversation.
 
 Turns are ordered by turn, then role and text; gaps in the numbering don't matter. Null role or text is a value
 of its own; turns without conv_id are dropped, as they belong to no conversation, and those without a turn number
-come first. Repeated turns count each. An empty table gives no rows.
+come first. Repeated turns count each; a tie between equal rows is broken by their place in the input, which must be
+a table or a stage, read alike each time. An empty table gives no rows. Other columns may have any name.
 
 Rendering: one line per turn, <|role|> and the text, ended by <|end|>; null role or text renders as empty. A
 conversation is returned in parts of PART turns, so the text of one row is bounded by what PART turns hold.
@@ -22,36 +24,43 @@ from pyspark.sql import functions as F
 from basketry.functions.lineage import staged
 from basketry.llm.common import read_table
 
-BLOCK, PART = 1024, 1024
+PART = 1024
+# monotonically_increasing_id keeps the row within its partition in the low 33 bits.
+_ROW_BITS = 33
 
 
-def numbered_turns(turns: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(conv_id, role, text, place, n_turns, a, b): turns numbered from 1 among the conversation's n_turns, with the
-    rolling hashes of the prefixes."""
+def sorted_turns(turns: DataFrame, parts: int | None = None) -> DataFrame:
+    """(conv_id, role, text, block, slot): turns dealt out by range and sorted, block being the range, written once."""
     rows = turns.where("conv_id is not null").select(
-        "conv_id", "turn", "role", "text",
-        F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))).cast("bigint").alias("block"),
+        "conv_id", "turn", "role", "text", F.monotonically_increasing_id().alias("tie")
     )
-    order = [F.col(c).asc_nulls_first() for c in ("turn", "role", "text")]
-    inside = Window.partitionBy("conv_id", "block").orderBy(*order)
-    rows = rows.withColumn("at", F.row_number().over(inside))
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text", "tie")]
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    slot = F.monotonically_increasing_id()
+    written = dealt.sortWithinPartitions(*order).select("conv_id", "role", "text", slot.alias("slot"))
+    return staged(written, "turns").withColumn("block", F.shiftright("slot", _ROW_BITS))
+
+
+def numbered_turns(turns: DataFrame, parts: int | None = None) -> DataFrame:
+    """(conv_id, role, text, place, n_turns, a, b): turns numbered from 1 among the conversation's n_turns, with the
+    rolling hashes of the prefixes."""
+    rows = sorted_turns(turns, parts)
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"))
-    starts = sizes.select(
-        "conv_id", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
+    sizes = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first"))
+    # A row per conversation and block: written, so that the planner sees whether it may be broadcast.
+    starts = staged(sizes.select(
+        "conv_id", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"),
         F.sum("n").over(Window.partitionBy("conv_id")).alias("n_turns"),
-    )
-    rows = rows.join(starts, ["conv_id", "block"]).withColumn("place", F.col("start") + F.col("at"))
+    ), "turn-starts")
+    rows = rows.join(starts, ["conv_id", "block"]).withColumn("place", F.col("slot") + F.col("shift"))
     # Nulls are told from empty strings by flags.
-    parts = [F.col("place"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")]
-    rows = staged(
-        rows.select("conv_id", "block", "role", "text", "place", "n_turns",
-                    F.xxhash64(*parts).alias("x"), F.xxhash64(F.lit("second"), *parts).alias("y")), "turns"
-    )
+    values = [F.col("place"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")]
+    rows = rows.select("conv_id", "block", "role", "text", "place", "n_turns",
+                       F.xxhash64(*values).alias("x"), F.xxhash64(F.lit("second"), *values).alias("y"))
     sums = rows.groupBy("conv_id", "block").agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
-    earlier = sums.select("conv_id", "block", *[
+    earlier = staged(sums.select("conv_id", "block", *[
         F.coalesce(F.bit_xor(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("x", "y")
-    ])
+    ]), "turn-hashes")
     running = Window.partitionBy("conv_id", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     return rows.join(earlier, ["conv_id", "block"]).select(
         "conv_id", "role", "text", "place", "n_turns",
@@ -82,9 +91,9 @@ def render(turns: DataFrame, part: int = PART) -> DataFrame:
     return pieces.groupBy("conv_id", "n_turns", "part").agg(joined.alias("text"))
 
 
-def format_chats(turns: DataFrame, block: int = BLOCK, part: int = PART) -> DataFrame:
+def format_chats(turns: DataFrame, parts: int | None = None, part: int = PART) -> DataFrame:
     """(conv_id, n_turns, part, text) of the maximal conversations in turns (conv_id, turn, role, text)."""
-    numbered = staged(numbered_turns(turns, block), "prefixes")
+    numbered = staged(numbered_turns(turns, parts), "prefixes")
     kept = staged(maximal_conversations(numbered.select("conv_id", "place", "n_turns", "a", "b")), "maximal")
     return render(numbered.join(kept.select("conv_id"), "conv_id"), part)
 

@@ -232,8 +232,8 @@ def brute_chats(rows):
     return {c: "".join(f"<|{r or ''}|>\n{t or ''}<|end|>\n" for r, t in turns[c]) for c in kept}
 
 
-@pytest.mark.parametrize("block", [1024, 2])
-def test_chats_collapse(spark, block):
+@pytest.mark.parametrize("parts", [None, 23])
+def test_chats_collapse(spark, parts):
     rng, rows = random.Random(9), []
     for c in range(80):
         n = rng.randrange(1, 7)
@@ -241,13 +241,16 @@ def test_chats_collapse(spark, block):
         rows += [(c, 3 * k, rng.choice(["user", "user", None]) if k == 4 else "user", f"t{seed}-{k}" if k < 5 else None) for k in range(n)]
     rows += [(200, None, None, None), (200, 0, "user", ""), (201, 0, "user", ""), (202, 0, "user", None), (203, 1, "a", "x"),
              (203, 1, "a", "x"), (204, 1, "a", "x"), (None, 0, "user", "t1-0"), (205, 2 * 10**9, "a", "x")]
+    rows += [(206, None, "a", "same")] * 90 + [(207, None, "a", "same")] * 91 + [(208, 7, "b", "same")] * 60
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("part", chats.F.lit("x"))
-    got = chats.format_chats(turns, block).collect()
+    got = chats.format_chats(turns, parts).collect()
     assert {r["conv_id"]: r["text"] for r in got} == brute_chats(rows)
     joined = defaultdict(str)
-    for r in sorted(chats.format_chats(turns, block, part=2).collect(), key=lambda r: r["part"]):
+    for r in sorted(chats.format_chats(turns, parts, part=2).collect(), key=lambda r: r["part"]):
         joined[r["conv_id"]] += r["text"]
     assert dict(joined) == brute_chats(rows)
+    blocks = chats.sorted_turns(turns, 23).groupBy("conv_id", "block").count().where("conv_id > 205").collect()
+    assert max(r["count"] for r in blocks) < 60 and sum(r["count"] for r in blocks) == 241
     assert chats.format_chats(turns.where("false")).count() == 0
 
 
