@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 # Folders of local sessions without spark.checkpoint.dir, by application.
 _LOCAL: dict[str, str] = {}
+# Stages of the run that removes them at its end, if one is under way.
+_RUN: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,6 +46,24 @@ def complete_folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(x.getPath().getParent().toString() for x in found or ())
 
 
+@contextmanager
+def stages_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the stages written inside at the end, also after a failure; results must be written before.
+
+    Frames that read a stage of the run are of no use afterwards. One run at a time in a process, as stages are
+    also written by threads of the run.
+    """
+    if _RUN:
+        raise RuntimeError("another run of this process removes its stages")
+    _RUN.append([])
+    try:
+        yield
+    finally:
+        for path in _RUN.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write the rows once and go on from the written table.
 
@@ -49,6 +71,8 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     and values that depend on the physical layout cannot change between two uses.
     """
     path = fresh_path(df.sparkSession, name)
+    for stages in _RUN:
+        stages.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

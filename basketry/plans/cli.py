@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from basketry.functions.lineage import stages_removed
 from basketry.params import ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.jobs import JobParams, Jobs
 from basketry.sources.sinks import MODES
@@ -68,18 +69,23 @@ def _made(description: str, args: argparse.Namespace) -> Jobs:
 
 
 def train(argv: list[str] | None = None) -> None:
-    _jobs("train-recommender", argv).train()
+    jobs = _jobs("train-recommender", argv)
+    with stages_removed(jobs.spark):
+        jobs.train()
 
 
 def score(argv: list[str] | None = None) -> None:
-    _jobs("score-recommender", argv).score()
+    jobs = _jobs("score-recommender", argv)
+    with stages_removed(jobs.spark):
+        jobs.score()
 
 
 def pair(argv: list[str] | None = None) -> None:
     jobs = _jobs("pair-products", argv)
-    jobs.type_pairs()
-    jobs.sku_pairs()
-    jobs.mined_reference()
+    with stages_removed(jobs.spark):
+        jobs.type_pairs()
+        jobs.sku_pairs()
+        jobs.mined_reference()
 
 
 def refresh(argv: list[str] | None = None) -> None:
@@ -91,4 +97,6 @@ def refresh(argv: list[str] | None = None) -> None:
         help="days whose lines were corrected or booked late",
     )
     args = parser.parse_args(argv)
-    _made("refresh-pairs", args).refresh_sku_pairs(args.previous, args.before, args.restated)
+    jobs = _made("refresh-pairs", args)
+    with stages_removed(jobs.spark):
+        jobs.refresh_sku_pairs(args.previous, args.before, args.restated)

@@ -1,10 +1,11 @@
 """The four jobs, end to end with small models."""
 
 import dataclasses
+import os
 
 import pytest
 
-from basketry.functions.lineage import fresh_path
+from basketry.functions.lineage import fresh_path, shared_dir, stages_removed
 from basketry.params import ClusterParams, FactorParams, PairParams, ReactivationParams, TreeParams
 from basketry.plans.jobs import JobParams, Jobs
 from basketry.sources.fixtures import AS_OF, EARLIEST_PREVIOUS, retail_tables
@@ -24,12 +25,15 @@ def jobs(spark, folder):
 
 
 def test_pairs(spark, jobs):
-    recs = jobs.type_pairs()
+    before = set(os.listdir(shared_dir(spark)))
+    with stages_removed(spark):
+        recs, described, mined = jobs.type_pairs(), jobs.sku_pairs(), jobs.mined_reference()
+    # Results are whole without the stages, of which none is left beside the job's folder.
+    assert set(os.listdir(shared_dir(spark))) - before <= {os.path.basename(jobs.out), "rdd"}
     assert recs.select("region").distinct().count() == 5
     assert recs.filter("rn > 10 or focus_pdm_prod_type_id = recomm_pdm_prod_type_id").count() == 0
-    described = jobs.sku_pairs()
     assert described.filter("focus_type IS NULL OR recomm_type IS NULL OR sku_rank < 1").count() == 0
-    kept = jobs.mined_reference().filter("product_type_rank > 0")
+    kept = mined.filter("product_type_rank > 0")
     assert 0 < kept.count() <= spark.read.parquet(f"{jobs.out}/type_pair_reference").filter("product_type_rank > 0").count()
 
 

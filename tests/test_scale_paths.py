@@ -1,6 +1,7 @@
 """The forms made for large or skewed data give what the plain forms give."""
 
 import datetime as dt
+import os
 import random
 from collections import Counter
 
@@ -8,11 +9,28 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from basketry.functions.lineage import shared_dir, staged, stages_removed
 from basketry.functions.numbering import consecutive, consecutive_within
 from basketry.operators import pairs
 from basketry.operators.reactivation import with_previous_date
 
 
+def test_stages_are_removed_at_the_end_of_a_run(spark):
+    def folders():
+        return {n for n in os.listdir(shared_dir(spark)) if n.startswith("removal")}
+
+    kept = staged(spark.range(5), "removal-kept")
+    with stages_removed(spark):
+        assert staged(spark.range(7), "removal").count() == 7 and len(folders()) == 2
+        with pytest.raises(RuntimeError), stages_removed(spark):
+            pass
+    assert len(folders()) == 1 and kept.count() == 5
+    with pytest.raises(ZeroDivisionError), stages_removed(spark):
+        staged(spark.range(7), "removal")
+        1 / 0  # noqa: B018
+    assert len(folders()) == 1
+
+
 def test_consecutive(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 100003).alias("k")).repartition(7)
     numbered = {r.k: r.n for r in consecutive(df, [F.col("k")], "n").collect()}
