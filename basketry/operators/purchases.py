@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +31,13 @@ def base_transactions(
     skus: DataFrame,
     params: PairParams,
     days: Callable[[Column], Column] | None = None,
+    months: Sequence[int] | None = None,
 ) -> DataFrame:
     """Purchase lines of the window, each distinct line once, with customer and SKU attributes.
 
-    `days`, if given, tells the days wanted instead of the window.
+    `days`, if given, tells the days wanted instead of the window, and `months` (YYYYMM) the months they are in.
 
-    Lines stored by month are read from the folders of the window's months only.
+    Lines stored by month are read from the folders of the window's or the given months only.
 
     Lines are deduplicated while they hold ids, price and units only; the wide text columns are joined to
     the distinct rows. Every column of `skus` is part of the result, so this equals deduplicating at the end.
@@ -47,6 +48,8 @@ def base_transactions(
             F.date_format(F.add_months(F.lit(params.as_of), -params.window_months), "yyyyMM").cast("int"),
             month_number(params.as_of),
         ))
+    elif MONTH in sales_line.columns and months is not None:
+        sales_line = sales_line.filter(F.col(MONTH).isin(*months))
     lines = sales_line.filter(
         (days(booked) if days else month_window(booked, params.as_of, params.window_months))
         & (F.col("concept_format_id") == params.concept_format_id)

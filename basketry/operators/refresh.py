@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from basketry.functions.expressions import month_window
 from basketry.functions.lineage import staged
 from basketry.operators import pairs, purchases
+from basketry.sources.storage import month_number
 
 ITEM = ("customer_id", "pdm_prod_type_id", "item_sku_num")
 
@@ -51,6 +52,14 @@ class Move:
         new = date > F.lit(self.before)
         return month_window(date, self.after, self.months) & (new | self._restated(date) if self.restated else new)
 
+    def entering_months(self) -> list[int]:
+        """Months (YYYYMM) of the days that enter: those of the move, no more than the window's, and restated ones."""
+        first, last = self.before + dt.timedelta(days=1), self.after
+        span = range(max(first.year * 12 + first.month, last.year * 12 + last.month - self.months),
+                     last.year * 12 + last.month + 1) if first <= last else ()
+        months = {(m - 1) // 12 * 100 + (m - 1) % 12 + 1 for m in span}
+        return sorted(months | {month_number(day) for day in self.restated})
+
     def leaving(self, date: Column) -> Column:
         """Days of the old window that the new one lacks, or has otherwise."""
         gone = date < F.add_months(F.lit(self.after).cast("date"), -self.months)

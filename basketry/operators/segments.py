@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -76,17 +78,25 @@ def cluster_choices(
 
     The scaled vectors are written once. Of `params.starts` fits per number the one of least cost counts. The
     silhouette (squared distances) needs each cluster's size, sums and squared norms only, no distances of pairs.
+    Fits run several at a time: each is many short jobs, which leave executors idle.
     """
     vectors = staged(_vectors(wide, params, key).transform(wide).select("_vector"), "cluster-vectors")
     judge = ClusteringEvaluator(featuresCol="_vector", predictionCol="_cluster")
-    found = []
-    for clusters in sorted(set(candidates)):
-        seeds = range(params.seed, params.seed + params.starts)
-        fits = [(seed, _kmeans(clusters, params, seed).fit(vectors)) for seed in seeds]
-        seed, best = min(fits, key=lambda f: (f[1].summary.trainingCost, f[0]))
-        several = sum(size > 0 for size in best.summary.clusterSizes) > 1
-        found.append((clusters, seed, judge.evaluate(best.transform(vectors)) if several else None))
-    return found
+    numbers, seeds = sorted(set(candidates)), range(params.seed, params.seed + params.starts)
+
+    def fit(choice: tuple[int, int]) -> KMeansModel:
+        return _kmeans(choice[0], params, choice[1]).fit(vectors)
+
+    def silhouette(model: KMeansModel) -> float | None:
+        several = sum(size > 0 for size in model.summary.clusterSizes) > 1
+        return judge.evaluate(model.transform(vectors)) if several else None
+
+    tried = list(product(numbers, seeds))
+    with ThreadPoolExecutor(params.parallelism) as pool:
+        fits = dict(zip(tried, pool.map(fit, tried), strict=True))
+        best = [min((t for t in tried if t[0] == n), key=lambda t: (fits[t].summary.trainingCost, t[1])) for n in numbers]
+        judged = pool.map(silhouette, [fits[t] for t in best])
+        return [(*choice, value) for choice, value in zip(best, judged, strict=True)]
 
 
 def best_choice(choices: Sequence[tuple[int, int, float | None]]) -> tuple[int, int]:

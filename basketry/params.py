@@ -151,7 +151,7 @@ class TreeParams:
 class ClusterParams:
     """K-means over the score vectors; clusters=None takes log10 of the row count, 2 at least, which changes what
     a cluster means as the table grows. With candidates the number of them with the best silhouette is taken, each
-    fitted from `starts` seeds."""
+    fitted from `starts` seeds, `parallelism` fits at a time."""
 
     clusters: int | None = 4
     standardize: bool = True
@@ -159,6 +159,7 @@ class ClusterParams:
     seed: int = 42
     candidates: tuple[int, ...] = ()
     starts: int = 3
+    parallelism: int = 4
 
     def __post_init__(self):
         if any(k < 2 for k in self.candidates):

@@ -121,7 +121,8 @@ class Flow:
         t, p = self.tables, self.pairs
         move = refresh.Move(before, p.as_of, p.window_months, tuple(restated))
         entering = purchases.base_transactions(
-            t.sales_line, t.customer_txn_xref, t.customer_curr, self.sku_dimension, p, move.entering
+            t.sales_line, t.customer_txn_xref, t.customer_curr, self.sku_dimension, p, move.entering,
+            move.entering_months(),
         )
         return refresh.refresh_window(
             state, entering, move, reference,

@@ -120,6 +120,18 @@ def explained(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
+def test_months_of_the_entering_days():
+    rng = random.Random(4)
+    for _ in range(300):
+        before = dt.date(2019, 1, 1) + dt.timedelta(rng.randrange(900))
+        move = Move(before, before + dt.timedelta(rng.choice([0, 1, 20, 70, 400])), rng.randrange(1, 8),
+                    tuple(before - dt.timedelta(rng.randrange(99)) for _ in range(rng.randrange(3))))
+        days = {move.after - dt.timedelta(n) for n in range((move.after - move.before).days)}
+        year, month = divmod(move.after.year * 12 + move.after.month - 1 - move.months, 12)
+        kept = {d for d in days if (d.year, d.month) >= (year, month + 1)} | set(move.restated)
+        assert move.entering_months() == sorted({d.year * 100 + d.month for d in kept})
+
+
 def test_only_the_entering_days_are_scanned(spark):
     path = fresh_path(spark, "sales")
     sales = spark.createDataFrame(
@@ -142,6 +154,15 @@ def test_only_the_entering_days_are_scanned(spark):
     assert entering.count() == 1
     scan = next(line for line in explained(entering).split("\n") if "PushedFilters" in line and "booked_date" in line)
     assert f"GreaterThan(transaction_booked_date,{move.before})" in scan
+    by_month = fresh_path(spark, "sales-by-month")
+    sales.withColumn("booked_month", F.date_format("transaction_booked_date", "yyyyMM").cast("int")).write.partitionBy(
+        "booked_month").parquet(by_month)
+    stored = purchases.base_transactions(
+        spark.read.parquet(by_month), xref, customers, skus, PairParams(DAY), move.entering, move.entering_months()
+    )
+    assert stored.count() == 1
+    read = next(line for line in explained(stored).split("\n") if "PartitionFilters" in line)
+    assert "booked_month" in read and "202002" not in read and "202003" in read
     state = spark.read.parquet(path).filter(move.leaving(F.col("transaction_booked_date")))
     assert "LessThan(transaction_booked_date,2019-09-01)" in explained(state)
 
