@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on every row its predecessor kept and returns the columns of
 documents, the last one pieces of sequences with their token ids. `run` writes each stage's rows as Parquet in
 the shared folder and reads them again for the next.
+
+Null, empty and blank texts and those without letters go with the first stage, as no language is identified. Repeated
+rows and ties: the row of the smallest doc_id stays, the first of equal ones; of a group without doc_ids one row.
+Nulls in other columns, and extra columns of any name, are carried to the last stage, which returns its own columns.
+Texts are worked on whole at any length. Empty tables give no pieces; a benchmark without items drops nothing.
 """
 
 from __future__ import annotations
