@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql.window import Window
 
 from basketry.functions.lineage import shared_dir, staged, stages_removed
 from basketry.functions.numbering import consecutive, consecutive_within
-from basketry.operators import pairs
+from basketry.operators import features, pairs
 from basketry.operators.reactivation import with_previous_date
 
 
@@ -131,3 +132,30 @@ def test_distinct_baskets(spark):
     reference = [(1, 1), (1, 2)]
     assert mined(spark, twice, reference) == {(100, 200): 6}
     assert mined(spark, twice, reference, distinct_baskets=True) == {(100, 200): 1}
+
+
+@pytest.mark.parametrize("until", [None, 202006])
+def test_latest_rows_are_found_without_sorting_the_table(spark, rows, until):
+    rng = random.Random(5)
+    # Address 0 has a third of the rows; some stop years before the others.
+    data = [
+        (rng.choice([0, None, *range(1, 40)]) if n % 3 else 0, rng.choice([None, 201801, *range(202001, 202011)]),
+         rng.randrange(3), rng.choice(["a", None]))
+        for n in range(900)
+    ] + [(50, 201512, 1, "b"), (50, 201512, 1, "b"), (50, 201512, 2, "b"), (51, None, 1, "b")]
+    table = spark.createDataFrame(data, "address_guid bigint, fiscal_period_id int, v int, s string")
+    wanted = [0, *range(10, 30), 50, 51, 77, None]
+    addresses = spark.createDataFrame([(a,) for a in wanted + wanted], "address_id bigint")
+    known = [r for r in data if r[0] in wanted and None not in r[:2] and (until is None or r[1] <= until)]
+    last = {}
+    for address, period, *_ in known:
+        last[address] = max(period, last.get(address, 0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = features.latest_rows(table, addresses, until)
+        assert rows(latest) == sorted({r for r in known if r[1] == last[r[0]]}, key=repr)
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and not re.search(r"Window|Sort", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
