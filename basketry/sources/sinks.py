@@ -37,10 +37,14 @@ def write_bucketed(
 ) -> DataFrame:
     """Replace a table with one bucketed and sorted by the key later joins use, below `path` if given.
 
-    Rows are dealt out by the key as the buckets are, so a bucket is one file per partition, not one per task. All
-    rows of a key share a bucket: choose a key without hot values.
+    Rows are gathered by bucket and partition, so a bucket is one file per partition, not one per task; one beyond the
+    session's advisory size is split over several tasks and files, so no task sorts more than that. All rows of a key
+    share a bucket: choose a key without hot values.
     """
-    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    # The hash that bucketBy deals by.
+    dealt = df.withColumn("_dealt_to", F.pmod(F.hash(key), F.lit(buckets)))
+    dealt = dealt.hint("rebalance", *[F.col(c) for c in ("_dealt_to", *partition_by)]).drop("_dealt_to")
+    writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:

@@ -74,3 +74,31 @@ def test_staged_keeps_schema_and_uses_the_shared_folder(spark, rows):
     assert rows(written.select(*df.columns)) == rows(df)
     assert written.schema["k"].dataType == df.schema["k"].dataType
     assert all(shared_dir(spark) in f for f in written.inputFiles())
+
+
+def test_large_buckets_are_written_by_several_tasks(spark, rows, tmp_path):
+    def files(df, table, *by):
+        sinks.write_bucketed(df, table, 2, "k", by, str(tmp_path / table))
+        return sorted((p.parent.name, p.name.split("_")[-1][:5]) for p in (tmp_path / table).rglob("*.parquet"))
+
+    df = spark.range(0, 60000, 1, 8).selectExpr(
+        "if(id % 1000 = 7, null, id * 7919 % 30011) AS k", "uuid() AS v", "if(id % 50 = 3, null, id % 2) AS m"
+    )
+    df = staged(df, "rows")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        # A file per bucket and partition as long as they are small.
+        assert files(df, "small_buckets") == [("small_buckets", "00000"), ("small_buckets", "00001")]
+        by_month = files(df, "small_months", "m")
+        assert len(by_month) == len(set(by_month)) == 6
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+        assert len(files(df, "large_buckets")) >= 6
+        written = spark.table("large_buckets")
+        assert rows(written, *df.columns) == rows(df)
+        # All rows of a key are in one bucket.
+        buckets = written.selectExpr("k", "regexp_extract(input_file_name(), '_([0-9]+)[.]c[0-9]+', 1) AS b").distinct()
+        assert buckets.count() == buckets.select("k").distinct().count() and buckets.select("b").distinct().count() == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        for table in ("small_buckets", "small_months", "large_buckets"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
