@@ -19,10 +19,11 @@ packed each. An empty table gives no pieces.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 
 from basketry.functions.lineage import staged
 from basketry.llm.common import read_table
-from basketry.llm.tokens import text_encoder, tokenizer_path
+from basketry.llm.tokens import joined, text_encoder, tokenizer_path
 
 WINDOW = 4096
 LEAST = 32
@@ -39,6 +40,19 @@ TOKENIZER = "word_bpe_49k.json"
 # A queue's quota of a round is counted in parts of a token.
 _PARTS = 16
 _NULL_SOURCE, _SOURCE = "-", "="
+# Bytes of texts or ids that a task works on at once, and parts of words whose ids a worker keeps.
+SLICE_BYTES = 16 << 20
+KEPT_PARTS = 200_000
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices that hold about so many bytes of a binary column, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        if high > low:
+            yield batch.slice(low, high - low)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -53,21 +67,19 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     ])
 
     def run(batches):
-        encoder = text_encoder(tokenizer)
-        end = encoder._packed([end_id])
+        encoder = text_encoder(tokenizer, KEPT_PARTS)
         part, served = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            queues = batch.column("queue").to_pylist()
-            ids = [encoder.ids(t) + end for t in batch.column("text").to_pylist()]
-            sizes = [len(x) // encoder.dtype.itemsize for x in ids]
+        for batch in (x for whole in batches for x in slices(whole, "text")):
+            ids, ends = encoder.column(batch.column("text"))
+            sizes = np.diff(ends, prepend=0) + 1
             local = []
-            for queue, size in zip(queues, sizes, strict=True):
+            for queue, size in zip(batch.column("queue").to_pylist(), sizes.tolist(), strict=True):
                 before = served.get(queue, 0)
                 local.append(before)
                 served[queue] = before + size
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("queue"), pa.array([part] * len(ids), pa.int32()),
-                pa.array(local, pa.int64()), pa.array(sizes, pa.int32()), pa.array(ids, pa.binary()),
+                batch.column("doc_id"), batch.column("queue"), pa.array([part] * len(sizes), pa.int32()),
+                pa.array(local, pa.int64()), pa.array(sizes, pa.int32()), joined(np.insert(ids, ends, end_id), sizes),
             ], schema.fieldNames())
 
     rows = docs.select(
@@ -181,25 +193,18 @@ def pack_documents(
     ])
 
     def run(batches):
-        kind = text_encoder(tokenizer).dtype
-        for batch in batches:
-            numbers, places, sizes, ids = (batch.column(c).to_pylist() for c in ("number", "place", "n", "ids"))
-            rows, starts, lengths, spots, parts = [], [], [], [], []
-            for i in range(batch.num_rows):
-                low, length, spot = rounds.pieces(numbers[i], places[i], sizes[i])
-                wide = np.frombuffer(ids[i], kind).astype("<u4").tobytes()
-                rows.append(np.full(len(low), i))
-                starts.append(low)
-                lengths.append(length)
-                spots.append(spot)
-                parts += [wide[4 * a:4 * (a + n)] for a, n in zip(low.tolist(), length.tolist(), strict=True)]
-            if not rows:
-                continue
-            at, spot = pa.array(np.concatenate(rows)), np.concatenate(spots)
+        kind = text_encoder(tokenizer, KEPT_PARTS).dtype
+        for batch in (x for whole in batches for x in slices(whole, "ids")):
+            columns = (batch.column(c).to_pylist() for c in ("number", "place", "n"))
+            found = [rounds.pieces(*row) for row in zip(*columns, strict=True)]
+            starts, lengths, spots = (np.concatenate(x) for x in zip(*found, strict=True))
+            at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x, _, _ in found]))
+            # The pieces of a document follow one another and leave nothing out.
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind).astype("<u4")
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(at), batch.column("source").take(at), pa.array(np.concatenate(starts)),
-                pa.array(np.concatenate(lengths)), pa.array(parts, pa.binary()),
-                batch.column("n").cast(pa.int64()).take(at), pa.array(spot // window), pa.array(spot % window),
+                batch.column("doc_id").take(at), batch.column("source").take(at), pa.array(starts),
+                pa.array(lengths), joined(ids, lengths), batch.column("n").cast(pa.int64()).take(at),
+                pa.array(spots // window), pa.array(spots % window),
             ], schema.fieldNames())
 
     return placed.mapInArrow(run, schema)

@@ -3,6 +3,8 @@
 The tokenizers used here never join characters across ASCII white space, so a text's ids are the ids of its
 white-space separated pieces, one after another. A worker keeps the ids of pieces it has met lately, which
 saves most of the encoding; the memory for them is bounded and no result depends on it.
+
+`ids` encodes one text, `column` a column of them: each distinct piece of the column once, and the plain ones together.
 """
 
 from __future__ import annotations
@@ -12,12 +14,18 @@ import struct
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 KEPT_PIECES = 300_000
 _KEPT_BYTES = 64
+# Distinct words whose parts are found together.
+_TOGETHER = 1 << 16
 # Texts of these letters and signs are their own NFC form and have one lower-case letter for each upper-case one.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿŒœ]*")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^0-9a-zß-öø-ÿœ]+")
+# The same for lines of one piece each; a line's end is a part of its own.
+_LINES = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^\n0-9a-zß-öø-ÿœ]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -80,11 +88,63 @@ class TextEncoder:
     def ids(self, text: bytes | None) -> bytes:
         return b"".join(map(self.pieces.__getitem__, text.split())) if text else b""
 
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a binary column of UTF-8 texts (null: none), one text after another, and where each one's end."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, b"").view(pa.string()))
+        coded = words.values.view(pa.binary()).dictionary_encode()
+        taken = self._distinct(coded.dictionary).take(coded.indices)
+        size = self.dtype.itemsize
+        at = _offsets(taken)
+        ids = np.frombuffer(taken.buffers()[2] or b"", self.dtype, at[-1] // size)
+        return ids, at[_offsets(words)[1:]] // size
+
+    def _distinct(self, words: pa.Array) -> pa.Array:
+        """Packed ids of each word of a binary column without nulls."""
+        if not self.by_parts:
+            return pa.array(map(self.pieces.__getitem__, words.to_pylist()), pa.binary())
+        some = [self._plain(words.slice(i, _TOGETHER)) for i in range(0, len(words), _TOGETHER)]
+        return pa.concat_arrays(some) if some else pa.array([], pa.binary())
+
+    def _plain(self, words: pa.Array) -> pa.Array:
+        """The same for a tokenizer that encodes by parts: the parts of all plain words are found together."""
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b"\n")
+        texts = lines[0].as_py().decode("utf-8", "replace").split("\n")
+        other = {}
+        for i, text in enumerate(texts):
+            if "<|" in text or not _PLAIN.fullmatch(text):
+                other[i] = self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                texts[i] = ""
+        parts = _LINES.findall("\n".join(texts).lower())
+        known = self.parts
+        ids = [b"" if p == "\n" else known[p] for p in parts]
+        # A word's parts lie between the ends of two lines.
+        ends = [0, *(i for i, p in enumerate(parts) if p == "\n"), len(parts)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        found = joined(np.frombuffer(b"".join(ids), np.uint8), np.diff(np.append(0, np.cumsum(sizes))[ends]))
+        if not other:
+            return found
+        mask = np.zeros(len(words), bool)
+        mask[list(other)] = True
+        return pc.replace_with_mask(found, pa.array(mask), pa.array(list(other.values()), pa.binary()))
+
+
+def joined(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A binary column whose rows hold so many of the values, one row after another."""
+    at = pa.array(np.append(0, np.cumsum(lengths)) * values.itemsize, pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, at.buffers()[1], pa.py_buffer(values)])
+
+
+def _offsets(values: pa.Array) -> np.ndarray:
+    """Where the values of an unsliced binary or list array begin, and the end."""
+    if not len(values):
+        return np.zeros(1, np.int32)
+    return np.frombuffer(values.buffers()[1], np.int32, len(values) + 1)
+
 
 @lru_cache(maxsize=4)
-def text_encoder(file: str) -> TextEncoder:
+def text_encoder(file: str, kept: int = KEPT_PIECES) -> TextEncoder:
     """One encoder per worker and tokenizer file."""
-    return TextEncoder(file)
+    return TextEncoder(file, kept)
 
 
 def tokenizer_path(name: str) -> str:

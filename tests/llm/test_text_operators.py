@@ -8,12 +8,13 @@ from collections import Counter, defaultdict
 from datetime import timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
 from basketry.llm import components, decontaminate, langid, licenses, packing, pii, simhash
-from basketry.llm.tokens import text_encoder, tokenizer_path
+from basketry.llm.tokens import TextEncoder, text_encoder, tokenizer_path
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, Row string, fp_ int"
 WORDS = "the of and to in a is that for it was on are as with his they at be this from have or one had".split()
@@ -55,6 +56,43 @@ def test_token_ids_equal_the_tokenizers():
         assert got == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_columns_are_encoded_by_distinct_words():
+    path = tokenizer_path("word_bpe_49k.json")
+    plain, ours = Tokenizer.from_file(path), TextEncoder(path)
+    texts = [
+        None, "", " ", "Don't STOP 'Ll x'y''s  <|endoftext|>a", "İstanbul ß ﬁ \x1c é ́a K Å 12a3 _a_\x85b\xa0c", "北京",
+        "l'été's « ça » हिन्दी 🙂🙂 a b c\n\n\td\x0b\x0ce\r", " ÀÉÎ Œuvre straße;naïve--x 9½ ² ", made(3, 3000), made(3, 3000), "",
+    ]
+    raw = [None if t is None else t.encode() for t in texts] + [b"broken \xff\xc3 text"]
+    column = pa.array([b"cut off", *raw, b"cut off"], pa.binary()).slice(1, len(raw))
+    ids, ends = ours.column(column)
+    for k, (text, low, high) in enumerate(zip(raw, [0, *ends[:-1]], ends, strict=True)):
+        want = plain.encode((text or b"").decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert ids[low:high].tolist() == want, k
+    nothing, none = ours.column(pa.array([], pa.binary()))
+    blank, ends = ours.column(pa.array([None, b"", b" "], pa.binary()))
+    assert len(nothing) == len(none) == len(blank) == 0 and ends.tolist() == [0, 0, 0]
+    # Other tokenizers encode each distinct word once as well.
+    path = tokenizer_path("byte_bpe_50k.json")
+    other, asked = TextEncoder(path), Counter()
+    piece = other.pieces.make
+    other.pieces.make = lambda word: asked.update([word]) or piece(word)
+    ids, ends = other.column(column)
+    assert [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)] == [TextEncoder(path).ids(t) for t in raw]
+    assert set(asked.values()) == {1}
+
+
+def test_packing_looks_up_no_word_of_plain_text_alone():
+    texts = [made(k, 500).encode() for k in range(20)]
+    ours = text_encoder(tokenizer_path(packing.TOKENIZER), packing.KEPT_PARTS)
+    words, ours.pieces.make = [], lambda word: words.append(word) or b""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(20)), pa.array(["=a"] * 20), pa.array(texts, pa.binary())], ["doc_id", "queue", "text"]
+    )
+    rows = sum(len(ours.column(x.column("text"))[1]) for x in packing.slices(batch, "text", 4000))
+    assert rows == 20 and not words
+
+
 def check_pieces(rows, docs, window=packing.WINDOW):
     plain = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     whole = defaultdict(int)
