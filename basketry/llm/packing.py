@@ -40,19 +40,24 @@ TOKENIZER = "word_bpe_49k.json"
 # A queue's quota of a round is counted in parts of a token.
 _PARTS = 16
 _NULL_SOURCE, _SOURCE = "-", "="
-# Bytes of texts or ids that a task works on at once, and parts of words whose ids a worker keeps.
-SLICE_BYTES = 16 << 20
-KEPT_PARTS = 200_000
+# Bytes of texts or ids that a task works on at once, and parts of words whose ids a worker keeps: larger ones
+# save encoding, but tasks of other stages find less memory left in the workers they share.
+SLICE_BYTES = 8 << 20
+KEPT_PARTS = 100_000
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in slices that hold about so many bytes of a binary column, or one row."""
+    """The rows of a batch in slices with less than so many bytes of a binary column behind their first row.
+
+    What Arrow took for a slice goes back to the system before the next one.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), batch.num_rows]
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
         if high > low:
             yield batch.slice(low, high - low)
+            pa.default_memory_pool().release_unused()
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
